@@ -16,52 +16,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.functions.text import alnum_tokens, drop_stop_words, text_key, with_term_counts
+from feedlark.functions.text import text_key
+from feedlark.operators.texts import attach, distinct_texts, text_words
 
 MAX_FEATURES = 10_000
 HOT_NAMES = 1_000  # a word of more names than this is hot
 SLACK = 2e-6  # more than rounding to 6 decimals can move a score
 
 
-def mapping_tokens(clean: Column | str) -> Column:
-    """Tokens of cleaned text that may enter the vocabulary."""
-    return drop_stop_words(alnum_tokens(clean, 3), "mapping", "english318")
-
-
-def has_mapping_tokens(clean: Column | str) -> Column:
-    """Does the text count as a document: a word is left before the 318-word list is applied."""
-    return F.size(drop_stop_words(alnum_tokens(clean, 3), "mapping")) > 0
-
-
-def distinct_texts(
-    df: DataFrame, text: str, *more: Column, tokens=mapping_tokens, counted=has_mapping_tokens
-) -> DataFrame:
-    """One row per distinct text: text_key, copies, counted (is it a document for idf), bag.
-
-    Copies are merged before and after the shuffle, so a text that makes up a third of all rows is
-    one row from here on. `more` holds further aggregates.
-    """
-    texts = df.groupBy(F.col(text).alias("text")).agg(F.count(F.lit(1)).alias("copies"), *more)
-    extra = [c for c in texts.columns if c not in ("text", "copies")]
-    texts = texts.select(
-        text_key("text").alias("text_key"),
-        "copies",
-        counted("text").alias("counted"),
-        *(["text", *extra] if extra else []),
-        F.sort_array(tokens("text")).alias("tokens"),
-    )
-    return runtime.materialise(with_term_counts(texts, "tokens"), "texts")
-
-
-def text_words(texts: DataFrame) -> DataFrame:
-    """(text_key, copies, term, tf)"""
-    return texts.select("text_key", "copies", F.inline("bag"))
-
-
 def term_stats(*sides: DataFrame) -> DataFrame:
     """Document frequency and corpus frequency of every term over all sides: term, df, ctf."""
     words = text_words(sides[0]).select("copies", "term", "tf")
@@ -322,8 +288,7 @@ def attach_matches(
     posts: DataFrame, mapped: DataFrame, text: str, min_score: float = 0.0, hot_rows: int = runtime.HOT_ROWS
 ) -> DataFrame:
     """One row per post and match, best first; a post without a match keeps a row with nulls and 0."""
-    keyed = posts.withColumn("text_key", text_key(text))
-    keyed = runtime.hot_key_join(keyed, runtime.materialise(mapped, "mapped"), "text_key", "copies", hot_rows)
+    keyed = attach(posts, text, mapped, hot_rows)
     good = F.filter("matches", lambda m: m["similarity_score"] >= min_score)
     return keyed.select(*posts.columns, F.posexplode_outer(good).alias("pos", "m")).select(
         *posts.columns,

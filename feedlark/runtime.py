@@ -54,9 +54,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def hot_key_join(
-    rows: DataFrame, lookup: DataFrame, on: str, load: str, hot_rows: int = HOT_ROWS
+    rows: DataFrame, lookup: DataFrame, on: str, load: str, hot_rows: int = HOT_ROWS, how: str = "left"
 ) -> DataFrame:
-    """Left join of many `rows` to a `lookup` whose column `load` counts the rows per key.
+    """Join of many `rows` to a `lookup` whose column `load` counts the rows per key.
 
     Keys above `hot_rows` are at most len(rows) / hot_rows many, so their lookup rows are broadcast
     and the rows of a hot key stay where they are. All other keys meet in an ordinary shuffle join.
@@ -64,5 +64,5 @@ def hot_key_join(
     hot = F.broadcast(lookup.filter(F.col(load) > hot_rows).drop(load))
     cold = lookup.filter(F.col(load) <= hot_rows).drop(load)
     hot_part = rows.join(hot, on)
-    cold_part = rows.join(hot.select(on), on, "left_anti").join(cold, on, "left")
+    cold_part = rows.join(hot.select(on), on, "left_anti").join(cold, on, how)
     return hot_part.unionByName(cold_part)
