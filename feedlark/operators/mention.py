@@ -235,17 +235,19 @@ def overlap_scores(
 
 
 def best_names(bags: DataFrame, catalog: Catalog, keep: tuple[str, ...] = (), **limits) -> DataFrame:
-    """The k best names of each bag: bag_key, *keep, name_key, total (ties: lowest product id)."""
+    """The k best names of each bag: bag_key, *keep, name_key, rank_by (rounded total; ties go to the
+    lowest product id), total."""
     sure = F.array_max(F.transform("shared", lambda w: w["sure"]))
     scores = overlap_scores(bags.withColumn("floor", sure), catalog, keep, **limits)
-    scores = scores.withColumn("total", F.round("total", 6)).filter("total > 0")
+    scores = scores.withColumn("rank_by", F.round("total", 6)).filter("rank_by > 0")
+    cols = ["bag_key", *keep, "name_key", "rank_by", "total"]
     if catalog.k == 1:  # an aggregate leaves one row per bag before the shuffle already
-        best = F.min(F.struct((-F.col("total")).alias("minus"), "first_id", "name_key"))
+        best = F.min(F.struct((-F.col("rank_by")).alias("minus"), "first_id", "name_key", "total"))
         best = scores.groupBy("bag_key", *keep).agg(best.alias("b"))
-        return best.select("bag_key", *keep, "b.name_key", (-F.col("b.minus")).alias("total"))
-    order = Window.partitionBy("bag_key").orderBy(F.desc("total"), "first_id")
+        return best.select("bag_key", *keep, "b.name_key", (-F.col("b.minus")).alias("rank_by"), "b.total")
+    order = Window.partitionBy("bag_key").orderBy(F.desc("rank_by"), "first_id")
     scores = scores.withColumn("place", F.row_number().over(order))
-    return scores.filter(F.col("place") <= catalog.k).select("bag_key", *keep, "name_key", "total")
+    return scores.filter(F.col("place") <= catalog.k).select(*cols)
 
 
 def map_texts(
@@ -262,14 +264,14 @@ def map_texts(
     bags = words.groupBy("bag_key", "shared").agg(F.count(F.lit(1)).alias("texts"))
 
     best = best_names(bags, catalog, ("texts",), hot_names=hot_names, **limits).join(catalog.ids, "name_key")
-    match = F.struct((-F.col("total")).alias("minus"), "product_id", "product_name")
+    match = F.struct((-F.col("rank_by")).alias("minus"), "product_id", "product_name", "total")
     best = best.groupBy("bag_key", "texts").agg(  # at most k * k entries
         F.slice(F.sort_array(F.collect_list(match)), 1, catalog.k).alias("matches")
     )
     best = runtime.materialise(best, "best")
     texts = words.select("text_key", "copies", "norm", "bag_key")
     found = runtime.hot_key_join(texts, best, "bag_key", "texts", hot_rows)
-    score = lambda m: F.round(-m["minus"] / F.col("norm"), 6)
+    score = lambda m: F.round(m["total"] / F.col("norm"), 6)
     return found.select(
         "text_key",
         "copies",

@@ -47,6 +47,6 @@ def review_flow(reviews: DataFrame, label: Callable[[DataFrame, str], DataFrame]
     return sentiment.ecommerce_table(label(clean, "clean_text_review"))
 
 
-def with_period(df: DataFrame, ts: str, period: str = "period") -> DataFrame:
-    """The month folder of a row."""
-    return df.withColumn(period, F.date_format(ts, "yyyy-MM"))
+def with_period(df: DataFrame, ts: str, pattern: str = "yyyy-MM", period: str = "period") -> DataFrame:
+    """The folder that a row belongs to; by default its month."""
+    return df.withColumn(period, F.date_format(ts, pattern))

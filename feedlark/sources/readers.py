@@ -45,12 +45,12 @@ def read_text_items(
     )
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Products kept as `{"Product": {id: [name, category, price]}}`, of all files of a folder.
 
     Strings are normalised; of several products with one id, the first by file name and place stays.
     """
-    reader = spark.read.option("multiLine", True).option("pathGlobFilter", "*.json")
+    reader = spark.read.option("multiLine", multi_line).option("pathGlobFilter", "*.json")
     raw = reader.schema("Product map<string, array<string>>").json(path)
     rows = raw.select(
         F.col("_metadata.file_path").alias("file"), F.posexplode("Product").alias("pos", "product_id", "v")
