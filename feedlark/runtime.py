@@ -28,8 +28,13 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Holds all intermediate tables of this application; may be deleted once it has ended."""
+    return f"{scratch_root(spark)}/feedlark-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/feedlark-{label}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -162,7 +162,7 @@ def html_blocks_nested(spark, sf):
 def result_table(spark, df, name: str, ddl: str):
     path = runtime.scratch_path(spark, name)
     sinks.write_parquet(df, path, compression="snappy")
-    return sinks.external_table(spark, path.rsplit("/", 1)[1].replace("-", "_"), ddl, path)
+    return sinks.external_table(spark, f"sentiment_{path.rsplit('/', 1)[1].replace('-', '_')}", ddl, path)
 
 
 def table_sentiment_ecommerce(spark, sf):
