@@ -6,7 +6,8 @@ so the work is done once per distinct text and once per distinct bag of shared w
     posts -> distinct texts -> bags of shared words -> best names per bag
           <----------------- joined back by key ----<
 
-A bag meets only the names that could be among its best k (see `overlap_scores`), which is exact.
+A bag meets only the names that could be among its best k (see `overlap_scores` and
+`Catalog.core_names`), which is exact.
 Weights follow the usual smooth form: idf = ln((1+N)/(1+df)) + 1, weight = tf * idf, L2 norm.
 Names are ranked by their dot product with the unnormalised post, rounded to 6 decimals, then by
 lowest product id.
@@ -24,6 +25,7 @@ from feedlark.functions.text import text_key
 from feedlark.operators.texts import attach, distinct_texts, text_words
 
 MAX_FEATURES = 10_000
+BROADCAST_TERMS = 100_000  # the largest vocabulary that is sent to every executor
 HOT_NAMES = 1_000  # a word of more names than this is hot
 SLACK = 2e-6  # more than rounding to 6 decimals can move a score
 
@@ -52,31 +54,45 @@ def vocabulary(stats: DataFrame, n_docs: int, max_features: int | None = MAX_FEA
     return stats.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
 
 
-def tfidf_weights(texts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(text_key, term, weight): tf * idf over the norm of the text."""
-    words = text_words(texts).join(vocab.select("term", "idf"), "term")
+def with_idf(words: DataFrame, terms: DataFrame, bounded: bool) -> DataFrame:
+    """Join words and vocabulary: a broadcast where the vocabulary has a size limit, else a shuffle
+    join in which the most frequent terms are broadcast."""
+    if bounded:
+        return words.join(F.broadcast(terms.drop("df")), "term")
+    return runtime.hot_key_join(words, terms, "term", "df", how="inner")
+
+
+def tfidf_weights(texts: DataFrame, vocab: DataFrame, bounded: bool = True) -> DataFrame:
+    """(text_key, term, norm, weight): tf * idf over the norm of the text."""
+    words = with_idf(text_words(texts), vocab.select("term", "idf", "df"), bounded)
     words = words.select("text_key", "term", (F.col("tf") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("text_key")))
-    return words.select("text_key", "term", (F.col("raw") / norm).alias("weight"))
+    words = words.withColumn("norm", norm)
+    return words.select("text_key", "term", "norm", (F.col("raw") / F.col("norm")).alias("weight"))
 
 
 @dataclass
 class Catalog:
     """What scoring needs from the products; every table is small next to the posts."""
 
-    names: DataFrame  # name_key, first_id (lowest product id), vector: array<struct<term, weight>>
+    names: DataFrame  # name_key, first_id (lowest product id), norm, vector: array<struct<term, weight>>
     ids: DataFrame  # name_key, product_id, product_name: the k lowest ids per name
-    vocab: DataFrame  # term, idf
+    vocab: DataFrame  # term, idf, df
     k: int = 1
     bounded: bool = True  # has the vocabulary a size limit, so that it may be broadcast
 
     def postings(self) -> DataFrame:
-        """One row per word of a name: term, weight, name_key, first_id, vector."""
-        return self.names.select("name_key", "first_id", "vector", F.inline("vector"))
+        """One row per word of a name: name_key, first_id, norm, vector, term, weight."""
+        return self.names.select("*", F.inline("vector"))
+
+    def hot_terms(self, hot_names: int) -> DataFrame:
+        """The terms of more than `hot_names` names: fewer than postings / hot_names."""
+        counts = self.postings().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        return counts.filter(F.col("n") > hot_names).select("term")
 
     def terms(self, hot_names: int) -> DataFrame:
-        """(term, idf, cold, top, kth): the best weight of a term in any name, the k-th best (or 0),
-        and whether at most `hot_names` names have it."""
+        """(term, idf, df, cold, top, kth): the best weight of a term in any name, the k-th best (or
+        0), and whether at most `hot_names` names have it."""
         tops = self.postings().select("term", "weight")
         cold = (F.count(F.lit(1)) <= hot_names).alias("cold")
         if self.k == 1:
@@ -90,8 +106,38 @@ class Catalog:
             tops = tops.groupBy("term").agg(
                 F.max("weight").alias("top"), F.coalesce(last, F.lit(0.0)).alias("kth")
             ).join(flags, "term")
-        terms = self.vocab.join(tops, "term", "left")
-        return F.broadcast(terms) if self.bounded else terms
+        return self.vocab.join(tops, "term", "left")
+
+    def core_names(self, hot_names: int) -> DataFrame:
+        """(name_key): names that can be among the k best of a bag with which they share hot words only.
+
+        Names with the same hot words (their signature) then differ only in norm and id, so a name
+        loses to every name of its signature that has no larger norm and a lower id. Those that lose
+        to fewer than k others are found in k passes, in shares of a signature first and then among
+        the survivors, so that no task sorts a signature of very many names.
+        """
+        hot = self.postings().join(F.broadcast(self.hot_terms(hot_names)), "term", "left_semi")
+        word = F.concat_ws(":", "term", F.round(F.col("weight") * F.col("norm"), 6))
+        names = hot.groupBy("name_key", "first_id", "norm").agg(
+            text_key(F.array_join(F.sort_array(F.collect_list(word)), " ")).alias("signature")
+        )
+        share = F.pmod(F.xxhash64("name_key"), F.lit(64))
+        names = _undominated(names.withColumn("share", share), self.k, "signature", "share")
+        return _undominated(names, self.k, "signature").select("name_key")
+
+
+def _undominated(names: DataFrame, k: int, *within: str) -> DataFrame:
+    """Names that fewer than k others beat in both norm and id, or a few more: the rows that hold a
+    record low id in order of norm, then the records among the rest, and so on, k times."""
+    before = Window.partitionBy(*within).orderBy("norm", "first_id")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    names = names.withColumn("kept", F.lit(False))
+    for _ in range(k):
+        lowest = F.min(F.when(~F.col("kept"), F.col("first_id"))).over(before)
+        names = names.withColumn("lowest", lowest)
+        record = F.col("lowest").isNull() | (F.col("first_id") < F.col("lowest"))
+        names = names.withColumn("kept", F.col("kept") | record)
+    return names.filter("kept").drop("kept", "lowest")
 
 
 def fit_catalog(
@@ -109,11 +155,11 @@ def fit_catalog(
     texts = distinct_texts(posts, post_text, **tokenising)
     names = distinct_texts(products, product_name, first, **tokenising)
     vocab = vocabulary(term_stats(texts, names), document_count(texts, names), max_features)
-    vocab = runtime.materialise(vocab.select("term", "idf"), "vocab")
-    bounded = max_features is not None
+    vocab = runtime.materialise(vocab.select("term", "idf", "df"), "vocab")
+    bounded = max_features is not None and max_features <= BROADCAST_TERMS
 
-    weights = tfidf_weights(names, F.broadcast(vocab) if bounded else vocab)
-    vectors = weights.groupBy("text_key").agg(  # at most one entry per word of a name
+    weights = tfidf_weights(names, vocab, bounded)
+    vectors = weights.groupBy("text_key", "norm").agg(  # at most one entry per word of a name
         F.collect_list(F.struct("term", "weight")).alias("vector")
     )
     vectors = names.select("text_key", "first_id").join(vectors, "text_key")
@@ -147,7 +193,7 @@ def shared_words(texts: DataFrame, catalog: Catalog, hot_names: int = HOT_NAMES)
         "cold", (raw * F.col("top")).alias("bound"), "term", raw.alias("raw"),
         (raw * F.col("kth")).alias("sure"),
     )
-    words = text_words(texts).join(catalog.terms(hot_names), "term")
+    words = with_idf(text_words(texts), catalog.terms(hot_names), catalog.bounded)
     # the rows of a text lie together, so partial aggregation leaves one row per text to shuffle
     words = words.groupBy("text_key", "copies").agg(
         F.sqrt(F.sum(raw * raw)).alias("norm"),
@@ -157,8 +203,11 @@ def shared_words(texts: DataFrame, catalog: Catalog, hot_names: int = HOT_NAMES)
 
 
 def _driving_words(bags: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per driving word of a bag, with the weak words: words of many names which together
-    stay below `floor`. Looking such a word up in a name is cheaper than reading all its names."""
+    """One row per driving word of a bag, with all hot words of the bag.
+
+    The weakest hot words do not drive as long as they stay below `floor` together: a name that
+    shares only such words cannot reach the floor.
+    """
     start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
     grow = lambda acc, w: F.when(
         ~w["cold"] & (acc["sum"] + w["bound"] < F.col("floor") - SLACK),
@@ -167,9 +216,9 @@ def _driving_words(bags: DataFrame, cols: list[str]) -> DataFrame:
     bags = bags.withColumn("n_weak", F.aggregate("shared", start, grow)["n"])
     return bags.select(
         *cols,
-        F.slice("shared", F.lit(1), F.col("n_weak")).alias("weak"),
+        F.filter("shared", lambda w: ~w["cold"]).alias("hot"),
         F.explode(F.slice("shared", F.col("n_weak") + 1, F.size("shared"))).alias("w"),
-    ).select(*cols, "weak", "w.term", "w.raw")
+    ).select(*cols, "hot", "w.term", "w.raw", "w.cold")
 
 
 def _meet(words: DataFrame, postings: DataFrame, small: bool, pairs_per_task: int) -> DataFrame:
@@ -198,39 +247,50 @@ def overlap_scores(
     bags: DataFrame,
     catalog: Catalog,
     keep: tuple[str, ...] = (),
+    core_only: bool = False,
     hot_names: int = HOT_NAMES,
     broadcast_cells: int = runtime.BROADCAST_CELLS,
     pairs_per_task: int = runtime.PAIRS_PER_TASK,
 ) -> DataFrame:
     """(bag_key, *keep, name_key, first_id, total) for every name that may reach the bag's `floor`.
 
-    `bags` has bag_key, shared and floor. The weak words of a bag cannot lift a name to the floor
-    even together, so a name that shares only weak words is never looked at: words of many names,
-    which weigh little next to any rarer one, produce no rows. A name that was found by a driving
-    word gets the share of the weak words from its vector.
+    `bags` has bag_key, shared and floor. Cold words meet all of their names, at most `hot_names`
+    each. Hot words meet their names only if they drive the bag, and with `core_only` only the core
+    names. What the hot words add to a name is looked up in its vector, so the total is complete
+    whichever word found the name.
     """
     cols = ["bag_key", *keep]
     size = F.size("vector").cast("long")
     n_names, flat, square = catalog.names.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.sum(size * size), F.lit(0))
     ).first()
-    driven = (F.col("raw") * F.col("weight")).alias("driven")
-    if n_names <= hot_names:  # no word can be in many names
+    product = F.col("raw") * F.col("weight")
+    if n_names <= hot_names:  # no word can be hot
         words = bags.select(*cols, F.explode("shared").alias("w")).select(*cols, "w.term", "w.raw")
-        postings = catalog.postings().drop("vector")
+        postings = catalog.postings().select("name_key", "first_id", "term", "weight")
         met = _meet(words, postings, flat <= broadcast_cells, pairs_per_task)
-        met = met.select(*cols, "name_key", "first_id", driven, F.lit(0.0).alias("from_weak"))
-    else:
-        small = square <= broadcast_cells
-        met = _meet(_driving_words(bags, cols), catalog.postings(), small, pairs_per_task)
-        same = lambda w: F.filter("vector", lambda v: v["term"] == w["term"])
-        weight = lambda w: F.try_element_at(same(w), F.lit(1))["weight"]
-        from_weak = F.aggregate(
-            "weak", F.lit(0.0), lambda acc, w: acc + F.coalesce(w["raw"] * weight(w), F.lit(0.0))
-        )
-        met = met.select(*cols, "name_key", "first_id", driven, from_weak.alias("from_weak"))
+        return met.groupBy(*cols, "name_key", "first_id").agg(F.sum(product).alias("total"))
+
+    postings = catalog.postings().drop("norm")
+    if core_only:
+        hot = F.broadcast(catalog.hot_terms(hot_names))
+        core = postings.join(hot, "term", "left_semi").join(catalog.core_names(hot_names), "name_key", "left_semi")
+        postings = postings.join(hot, "term", "left_anti").unionByName(core)
+        postings = runtime.materialise(postings, "postings")
+        square = postings.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    met = _meet(_driving_words(bags, cols), postings, square <= broadcast_cells, pairs_per_task)
+    same = lambda w: F.filter("vector", lambda v: v["term"] == w["term"])
+    weight = lambda w: F.try_element_at(same(w), F.lit(1))["weight"]
+    from_hot = F.aggregate(
+        "hot", F.lit(0.0), lambda acc, w: acc + F.coalesce(w["raw"] * weight(w), F.lit(0.0))
+    )
+    met = met.select(
+        *cols, "name_key", "first_id",
+        F.when(F.col("cold"), product).otherwise(0.0).alias("from_cold"),
+        from_hot.alias("from_hot"),
+    )
     return met.groupBy(*cols, "name_key", "first_id").agg(
-        (F.sum("driven") + F.max("from_weak")).alias("total")
+        (F.sum("from_cold") + F.max("from_hot")).alias("total")
     )
 
 
@@ -238,7 +298,7 @@ def best_names(bags: DataFrame, catalog: Catalog, keep: tuple[str, ...] = (), **
     """The k best names of each bag: bag_key, *keep, name_key, rank_by (rounded total; ties go to the
     lowest product id), total."""
     sure = F.array_max(F.transform("shared", lambda w: w["sure"]))
-    scores = overlap_scores(bags.withColumn("floor", sure), catalog, keep, **limits)
+    scores = overlap_scores(bags.withColumn("floor", sure), catalog, keep, core_only=True, **limits)
     scores = scores.withColumn("rank_by", F.round("total", 6)).filter("rank_by > 0")
     cols = ["bag_key", *keep, "name_key", "rank_by", "total"]
     if catalog.k == 1:  # an aggregate leaves one row per bag before the shuffle already
@@ -334,7 +394,7 @@ def similar_pairs(
         raise ValueError("min_score must be above 0")
     bags = shared_words(texts, catalog, hot_names).withColumnRenamed("text_key", "bag_key")
     bags = bags.withColumn("floor", F.col("norm") * min_score - SLACK)
-    scores = overlap_scores(bags, catalog, ("norm",), hot_names, **limits)
+    scores = overlap_scores(bags, catalog, ("norm",), hot_names=hot_names, **limits)
     scores = scores.select(
         F.col("bag_key").alias("text_key"),
         "name_key",

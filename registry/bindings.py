@@ -358,7 +358,7 @@ def tfidf_vocab(spark, sf):
 def tfidf_weights(spark, sf):
     clean, items, texts, names = both_sides(spark, sf)
     vocab = mention.vocabulary(mention.term_stats(texts, names), mention.document_count(texts, names))
-    vocab = F.broadcast(runtime.materialise(vocab, "vocab"))
+    vocab = runtime.materialise(vocab, "vocab")
     out = []
     for side, rows, distinct, key, text in (
         ("post", clean, texts, "doc_id", "clean_text"),
