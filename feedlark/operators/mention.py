@@ -75,7 +75,7 @@ def tfidf_weights(texts: DataFrame, vocab: DataFrame, bounded: bool = True) -> D
 class Catalog:
     """What scoring needs from the products; every table is small next to the posts."""
 
-    names: DataFrame  # name_key, first_id (lowest product id), norm, vector: array<struct<term, weight>>
+    names: DataFrame  # name_key, first_id (lowest product id), norm, vector: map<term, weight>
     ids: DataFrame  # name_key, product_id, product_name: the k lowest ids per name
     vocab: DataFrame  # term, idf, df
     k: int = 1
@@ -83,7 +83,7 @@ class Catalog:
 
     def postings(self) -> DataFrame:
         """One row per word of a name: name_key, first_id, norm, vector, term, weight."""
-        return self.names.select("*", F.inline("vector"))
+        return self.names.select("*", F.explode("vector").alias("term", "weight"))
 
     def hot_terms(self, hot_names: int) -> DataFrame:
         """The terms of more than `hot_names` names: fewer than postings / hot_names."""
@@ -160,7 +160,7 @@ def fit_catalog(
 
     weights = tfidf_weights(names, vocab, bounded)
     vectors = weights.groupBy("text_key", "norm").agg(  # at most one entry per word of a name
-        F.collect_list(F.struct("term", "weight")).alias("vector")
+        F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("vector")
     )
     vectors = names.select("text_key", "first_id").join(vectors, "text_key")
     vectors = runtime.materialise(vectors.withColumnRenamed("text_key", "name_key"), "names")
@@ -221,6 +221,15 @@ def _driving_words(bags: DataFrame, cols: list[str]) -> DataFrame:
     ).select(*cols, "hot", "w.term", "w.raw", "w.cold")
 
 
+def _by_bag(bags: DataFrame) -> DataFrame:
+    """Shuffle the bags, one row each, so that their many pairs with names never have to be: with
+    broadcast postings, all later groupings by bag stay within a partition. The number of partitions
+    is fixed, as the size of the bags says little about the work that follows."""
+    conf, context = bags.sparkSession.conf, bags.sparkSession.sparkContext
+    wanted = max(int(conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
+    return bags.repartition(wanted, "bag_key")
+
+
 def _meet(words: DataFrame, postings: DataFrame, small: bool, pairs_per_task: int) -> DataFrame:
     """Equi-join of words and postings on term. Postings above the size limit are shuffled, and the
     terms with most pairs are split into several shares."""
@@ -266,9 +275,11 @@ def overlap_scores(
     ).first()
     product = F.col("raw") * F.col("weight")
     if n_names <= hot_names:  # no word can be hot
+        small = flat <= broadcast_cells
+        bags = _by_bag(bags) if small else bags
         words = bags.select(*cols, F.explode("shared").alias("w")).select(*cols, "w.term", "w.raw")
         postings = catalog.postings().select("name_key", "first_id", "term", "weight")
-        met = _meet(words, postings, flat <= broadcast_cells, pairs_per_task)
+        met = _meet(words, postings, small, pairs_per_task)
         return met.groupBy(*cols, "name_key", "first_id").agg(F.sum(product).alias("total"))
 
     postings = catalog.postings().drop("norm")
@@ -278,12 +289,11 @@ def overlap_scores(
         postings = postings.join(hot, "term", "left_anti").unionByName(core)
         postings = runtime.materialise(postings, "postings")
         square = postings.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    met = _meet(_driving_words(bags, cols), postings, square <= broadcast_cells, pairs_per_task)
-    same = lambda w: F.filter("vector", lambda v: v["term"] == w["term"])
-    weight = lambda w: F.try_element_at(same(w), F.lit(1))["weight"]
-    from_hot = F.aggregate(
-        "hot", F.lit(0.0), lambda acc, w: acc + F.coalesce(w["raw"] * weight(w), F.lit(0.0))
-    )
+    small = square <= broadcast_cells
+    bags = _by_bag(bags) if small else bags
+    met = _meet(_driving_words(bags, cols), postings, small, pairs_per_task)
+    weight = lambda w: F.coalesce(F.element_at("vector", w["term"]), F.lit(0.0))
+    from_hot = F.aggregate("hot", F.lit(0.0), lambda acc, w: acc + w["raw"] * weight(w))
     met = met.select(
         *cols, "name_key", "first_id",
         F.when(F.col("cold"), product).otherwise(0.0).alias("from_cold"),
@@ -298,7 +308,9 @@ def best_names(bags: DataFrame, catalog: Catalog, keep: tuple[str, ...] = (), **
     """The k best names of each bag: bag_key, *keep, name_key, rank_by (rounded total; ties go to the
     lowest product id), total."""
     sure = F.array_max(F.transform("shared", lambda w: w["sure"]))
-    scores = overlap_scores(bags.withColumn("floor", sure), catalog, keep, core_only=True, **limits)
+    bags = bags.withColumn("floor", sure)
+    scores = overlap_scores(bags, catalog, (*keep, "floor"), core_only=True, **limits)
+    scores = scores.filter(F.col("total") >= F.col("floor") - SLACK)  # k names reach the floor
     scores = scores.withColumn("rank_by", F.round("total", 6)).filter("rank_by > 0")
     cols = ["bag_key", *keep, "name_key", "rank_by", "total"]
     if catalog.k == 1:  # an aggregate leaves one row per bag before the shuffle already

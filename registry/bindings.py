@@ -486,8 +486,10 @@ def stream_clean(spark, sf):
     schema = table(spark, sf, "documents").schema
     out, checkpoint = (runtime.scratch_path(spark, x) for x in ("stream", "stream-state"))
     for _ in range(2):  # the second run finds no new file and must add nothing
-        landed = streams.landed_files(spark, sf, schema, "documents.parquet")
-        streams.stream_clean(landed.select("doc_id", "text"), out, checkpoint)
+        landed = streams.landed_files(spark, sf, schema, "documents.parquet").select("doc_id", "text")
+        # the folder holds one file, which one task would read and clean
+        landed = landed.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+        streams.stream_clean(landed, out, checkpoint)
     return readers.read_table(spark, out).select("doc_id", "clean_text")
 
 
