@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# the parser travels with the task, so the workers need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements without an end tag, and elements whose content is not page text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NO_TEXT = frozenset("script style template".split())

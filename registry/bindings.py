@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ from feedlark.plans import pipelines, reports
 from feedlark.sources import readers, sinks
 from feedlark.streaming import streams
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # for the scorer below
+
 PLATFORMS = ("store_a", "store_b")
 TOP_K = 3
 MIN_SCORE = 0.1
@@ -373,7 +378,7 @@ def tfidf_weights(spark, sf):
 # ---- sentiment
 
 
-def fake_scorer():
+def fake_scorer(labels=schemas.LABELS):
     """Stands in for a sentiment service: the reply depends on the length of the text."""
 
     def send(texts):
@@ -387,7 +392,7 @@ def fake_scorer():
             elif n % 13 == 0:
                 replies.append((200, "{}", None))
             else:
-                replies.append((200, '{"sentiment": "%s"}' % schemas.LABELS[n % 3], None))
+                replies.append((200, '{"sentiment": "%s"}' % labels[n % len(labels)], None))
         return replies
 
     return send

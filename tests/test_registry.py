@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tools.check import comparable, duck
+from tools.check import comparable, duck, type_differences
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -23,4 +23,5 @@ def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)
     rel = con.sql(SQL[name])
     assert comparable(df.columns, df.collect()) == comparable(rel.columns, rel.fetchall())
+    assert not type_differences(df, rel)
     assert not [c for c in df.columns if df.columns.count(c) > 1]
