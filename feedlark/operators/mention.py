@@ -86,9 +86,10 @@ class Catalog:
         return self.names.select("*", F.explode("vector").alias("term", "weight"))
 
     def hot_terms(self, hot_names: int) -> DataFrame:
-        """The terms of more than `hot_names` names: fewer than postings / hot_names."""
+        """The terms of more than `hot_names` names; broadcast if the vocabulary is."""
         counts = self.postings().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-        return counts.filter(F.col("n") > hot_names).select("term")
+        hot = counts.filter(F.col("n") > hot_names).select("term")
+        return F.broadcast(hot) if self.bounded else hot
 
     def terms(self, hot_names: int) -> DataFrame:
         """(term, idf, df, cold, top, kth): the best weight of a term in any name, the k-th best (or
@@ -116,7 +117,7 @@ class Catalog:
         to fewer than k others are found in k passes, in shares of a signature first and then among
         the survivors, so that no task sorts a signature of very many names.
         """
-        hot = self.postings().join(F.broadcast(self.hot_terms(hot_names)), "term", "left_semi")
+        hot = self.postings().join(self.hot_terms(hot_names), "term", "left_semi")
         word = F.concat_ws(":", "term", F.round(F.col("weight") * F.col("norm"), 6))
         names = hot.groupBy("name_key", "first_id", "norm").agg(
             text_key(F.array_join(F.sort_array(F.collect_list(word)), " ")).alias("signature")
@@ -230,7 +231,9 @@ def _by_bag(bags: DataFrame) -> DataFrame:
     return bags.repartition(wanted, "bag_key")
 
 
-def _meet(words: DataFrame, postings: DataFrame, small: bool, pairs_per_task: int) -> DataFrame:
+def _meet(
+    words: DataFrame, postings: DataFrame, small: bool, pairs_per_task: int, bounded: bool
+) -> DataFrame:
     """Equi-join of words and postings on term. Postings above the size limit are shuffled, and the
     terms with most pairs are split into several shares."""
     if small:
@@ -241,7 +244,8 @@ def _meet(words: DataFrame, postings: DataFrame, small: bool, pairs_per_task: in
     shares = F.ceil(F.col("n_words") * F.col("n_names") / pairs_per_task)
     shares = load.select("term", F.least("n_words", shares).cast("int").alias("shares"))
     # a term has several shares only if it has more than `pairs_per_task` pairs: few terms do
-    shares = F.broadcast(runtime.materialise(shares.filter("shares > 1"), "shares"))
+    shares = runtime.materialise(shares.filter("shares > 1"), "shares")
+    shares = F.broadcast(shares) if bounded else shares
     n = F.coalesce(F.col("shares"), F.lit(1))
     left = words.join(shares, "term", "left").withColumn(
         "share", F.pmod(F.xxhash64("bag_key"), n).cast("int")
@@ -279,19 +283,19 @@ def overlap_scores(
         bags = _by_bag(bags) if small else bags
         words = bags.select(*cols, F.explode("shared").alias("w")).select(*cols, "w.term", "w.raw")
         postings = catalog.postings().select("name_key", "first_id", "term", "weight")
-        met = _meet(words, postings, small, pairs_per_task)
+        met = _meet(words, postings, small, pairs_per_task, catalog.bounded)
         return met.groupBy(*cols, "name_key", "first_id").agg(F.sum(product).alias("total"))
 
     postings = catalog.postings().drop("norm")
     if core_only:
-        hot = F.broadcast(catalog.hot_terms(hot_names))
+        hot = catalog.hot_terms(hot_names)
         core = postings.join(hot, "term", "left_semi").join(catalog.core_names(hot_names), "name_key", "left_semi")
         postings = postings.join(hot, "term", "left_anti").unionByName(core)
         postings = runtime.materialise(postings, "postings")
         square = postings.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     small = square <= broadcast_cells
     bags = _by_bag(bags) if small else bags
-    met = _meet(_driving_words(bags, cols), postings, small, pairs_per_task)
+    met = _meet(_driving_words(bags, cols), postings, small, pairs_per_task, catalog.bounded)
     weight = lambda w: F.coalesce(F.element_at("vector", w["term"]), F.lit(0.0))
     from_hot = F.aggregate("hot", F.lit(0.0), lambda acc, w: acc + w["raw"] * weight(w))
     met = met.select(

@@ -55,7 +55,10 @@ def text_words(texts: DataFrame) -> DataFrame:
 
 
 def attach(df: DataFrame, text: str, results: DataFrame, hot_rows: int = runtime.HOT_ROWS) -> DataFrame:
-    """Put `results` (text_key, copies, …; one row per text) on every row of `df` with that text."""
+    """Put `results` (text_key, copies, …; one row per text) on every row of `df` with that text.
+
+    `df` is read up to three times, so it should be a stored table.
+    """
     results = runtime.materialise(results, "results")
     keyed = df.withColumn("text_key", text_key(text))
     return runtime.hot_key_join(keyed, results, "text_key", "copies", hot_rows).drop("text_key")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # a key with more rows than this is hot
+HOT_LOOKUP_ROWS = 500_000  # the most lookup rows of hot keys that are sent to every executor
 BROADCAST_CELLS = 5_000_000  # the most vector entries that are sent to every executor
 PAIRS_PER_TASK = 50_000_000  # join output that one task may produce for one key
 
@@ -59,13 +60,24 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def hot_key_join(
-    rows: DataFrame, lookup: DataFrame, on: str, load: str, hot_rows: int = HOT_ROWS, how: str = "left"
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    load: str,
+    hot_rows: int = HOT_ROWS,
+    how: str = "left",
+    most: int = HOT_LOOKUP_ROWS,
 ) -> DataFrame:
-    """Join of many `rows` to a `lookup` whose column `load` counts the rows per key.
+    """Join of many `rows` to a stored `lookup` whose column `load` counts the rows per key.
 
-    Keys above `hot_rows` are at most len(rows) / hot_rows many, so their lookup rows are broadcast
-    and the rows of a hot key stay where they are. All other keys meet in an ordinary shuffle join.
+    Lookup rows of keys above `hot_rows` are broadcast, and the rows of such a key stay where they
+    are; all other keys meet in an ordinary shuffle join. The broadcast has at most `most` rows: if
+    there are more, only the keys of ten times the load are taken for hot, and so on.
     """
+    while (found := lookup.filter(F.col(load) > hot_rows).limit(most + 1).count()) > most:
+        hot_rows = max(hot_rows, 1) * 10
+    if not found:
+        return rows.join(lookup.drop(load), on, how)
     hot = F.broadcast(lookup.filter(F.col(load) > hot_rows).drop(load))
     cold = lookup.filter(F.col(load) <= hot_rows).drop(load)
     hot_part = rows.join(hot, on)

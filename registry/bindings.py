@@ -337,8 +337,8 @@ def mention_topk(spark, sf):
 def mention_scores(spark, sf):
     clean, items = mapping_inputs(spark, sf)
     catalog, texts = mention.fit_catalog(clean, items)
-    pairs = runtime.materialise(mention.similar_pairs(texts, catalog, MIN_SCORE), "pairs")
-    pairs = pairs.join(texts.select("text_key", "copies"), "text_key")
+    pairs = mention.similar_pairs(texts, catalog, MIN_SCORE)
+    pairs = runtime.materialise(pairs.join(texts.select("text_key", "copies"), "text_key"), "pairs")
     found = clean.select("doc_id", T.text_key("clean_text").alias("text_key"))
     found = runtime.hot_key_join(found, pairs, "text_key", "copies", how="inner")
     names = items.select("product_id", T.text_key("clean_name").alias("name_key"))

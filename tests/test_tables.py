@@ -87,6 +87,15 @@ def test_hot_key_join_is_a_join(spark, rows, hot_rows, how):
     assert rows(got) == rows(left.join(lookup.drop("n"), "k", how))
 
 
+def test_hot_key_join_limits_what_it_broadcasts(spark, rows):
+    left = spark.createDataFrame([(i % 5, i) for i in range(50)], "k int, v int")
+    lookup = spark.createDataFrame([(i, f"w{i}", 10 + 100 * (i == 4)) for i in range(5)], "k int, w string, n long")
+    got = runtime.hot_key_join(left, lookup, "k", "n", hot_rows=2, most=1)
+    assert rows(got) == rows(left.join(lookup.drop("n"), "k"))
+    plan = got._jdf.queryExecution().toString()
+    assert "n#" in plan and "> 20)" in plan
+
+
 def test_scratch_needs_a_shared_folder(spark, monkeypatch, tmp_path):
     assert runtime.scratch_folder(spark).startswith(runtime.scratch_root(spark))
 
