@@ -11,7 +11,7 @@ from feedlark import runtime
 from feedlark.functions.text import clean_text
 from feedlark.operators import sentiment
 from feedlark.operators.mention import map_mentions
-from feedlark.operators.tables import clean_reviews, valid_posts, valid_products
+from feedlark.operators.tables import clean_reviews, number_rows, valid_posts, valid_products
 
 
 def cleaned_posts(posts: DataFrame, text: str = "text") -> DataFrame:
@@ -34,9 +34,13 @@ def social_flow(
     """Posts (key, text) and products (product_id, product_name) -> the stored mention table.
 
     `label(df, text column)` adds `sentiment`; `score_on="text"` scores the raw text, which still
-    has the negations that the social stop words remove.
+    has the negations that the social stop words remove. Ids that are not numbers are replaced by
+    row numbers in order of id and text, as the table's `review_id` is a number.
     """
     clean = valid_posts(cleaned_posts(posts))
+    if dict(clean.dtypes)[key] == "string":
+        clean = runtime.materialise(number_rows(clean, key, "clean_text"), "numbered")
+        key = "review_id"
     mapped = map_mentions(clean, valid_products(cleaned_products(products)), **mapping)
     return sentiment.social_table(label(runtime.materialise(mapped, "mapping"), score_on), key, "clean_text")
 

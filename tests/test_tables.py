@@ -118,6 +118,9 @@ def test_flows_end_to_end(spark, rows):
     social = pipelines.social_flow(posts, products, label("sentiment"))
     assert rows(social.select("review_id", "review_text", "product_id", "sentiment")) == [
         (1, "red bolt bad", "p1", "negative"), (3, "blue ring", "p2", "positive")]
+    named = pipelines.social_flow(posts.select(F.concat(F.lit("r"), "id").alias("id"), "text"), products, label("sentiment"))
+    assert rows(named) == [(i + 1, *r[1:]) for i, r in enumerate(rows(social))]
+    assert dict(named.dtypes)["review_id"] == "bigint"
     raw = pipelines.social_flow(posts, products, lambda df, t: df.withColumn("sentiment", F.col(t)), score_on="text")
     assert ("A <b>Red</b> bolt, not bad",) in rows(raw.select("sentiment"))
     reviews = spark.createDataFrame([("p1", "The Bolt", 4.0, "Not bad", "positive", "one")],
