@@ -13,20 +13,21 @@ HOT_LOOKUP_ROWS = 500_000  # the most lookup rows of hot keys that are sent to e
 BROADCAST_CELLS = 5_000_000  # the most vector entries that are sent to every executor
 PAIRS_PER_TASK = 50_000_000  # join output that one task may produce for one key
 
-_local_root: str | None = None
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of `spark.checkpoint.dir`; a temporary folder only in local mode."""
-    global _local_root
+    """The shared folder that `spark.checkpoint.dir` names."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="feedlark-")
-    return _local_root
+    return root.rstrip("/")
+
+
+def set_scratch_if_unset(spark: SparkSession) -> None:
+    """For entry points of single-machine runs: a folder of their own where none is configured."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    if spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="feedlark-"))
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from registry import bindings, oracle
 from tools.check import comparable, duck, type_differences
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = bindings.queries, oracle.SQL
 
 
 @pytest.fixture(scope="module")
