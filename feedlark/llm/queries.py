@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlark.llm import chat, hilbert
+from feedlark.llm import chat, hilbert, quality
 
 SHARDS = 40
 
@@ -60,6 +60,12 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format)}
+def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    judged = quality.robust_quality(quality.with_statistics(docs).drop("text"))
+    return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op10_quality_outliers)}
 
 SQL: dict[str, str] = {}
