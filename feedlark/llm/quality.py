@@ -31,7 +31,7 @@ CORE = 0.75  # share of rows that the estimate rests on
 STEPS = 4  # concentration steps at most
 LEAST_ROWS = 100
 MEDIAN_CHI2 = 4.3515  # median of the chi-square distribution with 5 degrees of freedom
-CUT_CHI2 = 250.0  # squared distance from which a text is rejected
+CUT_CHI2 = 140.0  # squared distance from which a text is rejected; far out, as clean texts have long tails
 ACCURACY = 10_000  # of the quantiles of distances
 
 # Feature -> (transformed statistic, floor of its standard deviation)
