@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlark.llm import chat, hilbert, quality
+from feedlark.llm import bpe, chat, hilbert, quality
 
 SHARDS = 40
+BPE_FILE = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,12 +62,17 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.with_round_trip(docs, public_tokenizers.path(BPE_FILE)).drop("text")
+
+
 def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     judged = quality.robust_quality(quality.with_statistics(docs).drop("text"))
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op10_quality_outliers)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op10_quality_outliers)}
 
 SQL: dict[str, str] = {}
