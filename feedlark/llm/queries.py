@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlark.llm import bpe, chat, hilbert, quality
+from feedlark.llm import bpe, chat, hilbert, quality, secretscan
 
 SHARDS = 40
 BPE_FILE = "byte_bpe_50k.json"
@@ -67,12 +67,28 @@ def op5_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.with_round_trip(docs, public_tokenizers.path(BPE_FILE)).drop("text")
 
 
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secretscan.scan(docs).drop("text")
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secretscan.BASE]))
+    counts = [
+        F.size(F.filter("spans", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}")
+        for r in secretscan.BASE
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secretscan.joined_spans(base), 256).alias("base_sha256"),
+        secretscan.joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     judged = quality.robust_quality(quality.with_statistics(docs).drop("text"))
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op10_quality_outliers)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op8_secret_scan, op10_quality_outliers)}
 
 SQL: dict[str, str] = {}
