@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -22,3 +22,9 @@ def pieces(text: Column, between: str) -> Column:
 def check_clash(columns: list[str], added: tuple[str, ...]) -> None:
     if clash := set(columns) & set(added):
         raise ValueError(f"columns {sorted(clash)} are added here; rename them first")
+
+
+def small(df: DataFrame, most: int) -> DataFrame:
+    """A stored table marked for broadcast if it has at most `most` rows, else as it is; what follows
+    must be right, and not collect anything, either way."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

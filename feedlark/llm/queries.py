@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlark.llm import bpe, chat, hilbert, quality, secretscan
+from feedlark.llm import bpe, chat, decontam, hilbert, quality, secretscan
 
 SHARDS = 40
 BPE_FILE = "byte_bpe_50k.json"
@@ -83,12 +83,25 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = decontam.decontaminate(docs, table(spark, folder, "benchmark"), carry=["doc_id"])
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     judged = quality.robust_quality(quality.with_statistics(docs).drop("text"))
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op8_secret_scan, op10_quality_outliers)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
 
 SQL: dict[str, str] = {}
