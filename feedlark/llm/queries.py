@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlark.llm import bpe, chat, decontam, hilbert, quality, secretscan
+from feedlark.llm import bpe, chat, decontam, hilbert, linededup, quality, secretscan
 
 SHARDS = 40
 BPE_FILE = "byte_bpe_50k.json"
@@ -67,6 +67,20 @@ def op5_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.with_round_trip(docs, public_tokenizers.path(BPE_FILE)).drop("text")
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cleaned = linededup.dedup_lines(docs)
+    kept = F.coalesce("kept_text", F.lit(""))
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "n_deleted",
+        linededup.ranges(F.col("deleted")).alias("deleted"),
+        F.length(kept).cast("long").alias("kept_chars"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secretscan.scan(docs).drop("text")
@@ -102,6 +116,46 @@ def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
-
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op6_line_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
+
+SQL: dict[str, str] = {
+    # every window of whole lines, compared with all others: no fingerprints
+    "op6_line_dedup": r"""
+with raw as (
+  select doc_id, text, unnest(string_split(text, chr(10))) as line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 as place
+  from documents
+), keyed as (
+  select doc_id, place, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as k,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as w
+  from raw
+), lines as (
+  select *, row_number() over (partition by doc_id order by place) as i,
+         sum(w) over (partition by doc_id order by place) as upto
+  from keyed where w > 0
+), windows as (
+  select a.doc_id, a.place as first_place, max(b.place) as last_place, list(b.k order by b.i) as content
+  from lines a join lines b on a.doc_id = b.doc_id and b.i between a.i and a.i + 49
+       and b.upto - b.w - (a.upto - a.w) < 50
+  group by a.doc_id, a.place
+  having sum(b.w) >= 50
+), later as (
+  select doc_id, first_place, last_place from (
+    select *, row_number() over (partition by content order by doc_id, first_place) as nth from windows)
+  where nth > 1
+), gone as (
+  select distinct doc_id, unnest(generate_series(first_place, last_place)) as place from later
+), runs as (
+  select doc_id, min(place) as a, max(place) as b from (
+    select doc_id, place, place - row_number() over (partition by doc_id order by place) as g from gone)
+  group by doc_id, g
+), told as (
+  select doc_id, string_agg(a || '-' || b, ',' order by a) as deleted, sum(b - a + 1)::bigint as n from runs group by doc_id
+), kept as (
+  select doc_id, coalesce(string_agg(line, chr(10) order by place) filter (where not hit), '') as t, count(*) as n_lines
+  from (select r.*, g.place is not null as hit from raw r left join gone g using (doc_id, place)) group by doc_id
+)
+select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n, 0) as n_deleted, coalesce(deleted, '') as deleted,
+       length(coalesce(t, ''))::bigint as kept_chars, sha256(coalesce(t, '')) as kept_sha256
+from documents d left join kept using (doc_id) left join told using (doc_id)""",
+}

@@ -1,0 +1,72 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedlark.llm import linededup, queries
+from tools.check import comparable, duck, type_differences
+
+SCHEMA = "doc_id long, text string"
+
+
+def plain(docs, passage):
+    """{index of row: kept text} from windows, one by one; rows are in key order."""
+    seen, out = set(), []
+    for _, text in docs:
+        if text is None:
+            out.append(None)
+            continue
+        raw = text.split("\n")
+        lines = [(k, x.strip(linededup.BLANK_CHARACTERS)) for k, x in enumerate(raw)]
+        lines = [(k, x) for k, x in lines if x]
+        gone = set()
+        for i in range(len(lines)):
+            n, j = 0, i
+            while j < len(lines) and n < passage:
+                n += len([w for w in lines[j][1].split(" ") if w])
+                j += 1
+            if n >= passage:
+                content = tuple(x for _, x in lines[i:j])
+                if content in seen:
+                    gone |= set(range(lines[i][0], lines[j - 1][0] + 1))
+                seen.add(content)
+        out.append("\n".join(x for k, x in enumerate(raw) if k not in gone))
+    return out
+
+
+def test_against_plain_python(spark):
+    rnd = random.Random(21)
+    pool = [" ".join(rnd.choices("abcdefg", k=rnd.randint(1, 6))) for _ in range(14)] + ["", "  ", "a b c d e f g h i j k l"]
+    docs = [(i, "\n".join(rnd.choices(pool, k=rnd.randint(0, 14)))) for i in range(150)]
+    docs += [(200, None), (201, ""), (202, "x y\n" * 500), (203, "x y\n" * 500)]
+    df = spark.createDataFrame([(*d, "keep") for d in docs], f"{SCHEMA}, first string").coalesce(1)
+    got = {r["doc_id"]: r for r in linededup.dedup_lines(df, passage=10).collect()}
+    for (i, text), want in zip(docs, plain(docs, 10)):
+        assert got[i]["kept_text"] == want, text
+        assert got[i]["first"] == "keep"
+        assert got[i]["n_lines"] - got[i]["n_deleted"] == (len(want.split("\n")) if want else got[i]["n_lines"] - got[i]["n_deleted"])
+
+
+def test_repeated_rows_nulls_and_empty_table(spark):
+    line = " ".join(map(str, range(60)))
+    df = spark.createDataFrame([(1, line), (1, line), (None, line), (2, f"own\n{line}\nend")], SCHEMA).coalesce(1)
+    got = linededup.dedup_lines(df).collect()
+    assert sorted(((r["doc_id"], r["kept_text"]) for r in got), key=repr) == [(1, ""), (1, ""), (2, "own\nend"), (None, line)]
+    assert linededup.dedup_lines(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        linededup.dedup_lines(df.withColumn("deleted", F.lit(1)))
+
+
+def test_short_repetitions_stay(spark):
+    short = "a license line of few words"
+    df = spark.createDataFrame([(i, f"text {i}\n{short}") for i in range(5)], SCHEMA)
+    assert all(r["n_deleted"] == 0 for r in linededup.dedup_lines(df).collect())
+
+
+def test_query_against_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    df, rel = queries.op6_line_dedup(spark, sf), duck(sf).sql(queries.SQL["op6_line_dedup"])
+    rows = df.collect()
+    assert comparable(df.columns, rows) == comparable(rel.columns, rel.fetchall())
+    assert not type_differences(df, rel)
+    assert any(r["n_deleted"] for r in rows)
