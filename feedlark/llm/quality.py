@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.llm.common import BLANKS, check_clash, pieces
+from feedlark.llm.common import BLANKS, check_clash, pieces, small
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 CORE = 0.75  # share of rows that the estimate rests on
@@ -33,6 +33,7 @@ LEAST_ROWS = 100
 MEDIAN_CHI2 = 4.3515  # median of the chi-square distribution with 5 degrees of freedom
 CUT_CHI2 = 140.0  # squared distance from which a text is rejected; far out, as clean texts have long tails
 ACCURACY = 10_000  # of the quantiles of distances
+MOST_CELLS = 100_000  # estimates that are broadcast, of some 200 bytes each
 
 # Feature -> (transformed statistic, floor of its standard deviation)
 FEATURES = {
@@ -117,7 +118,7 @@ def _start(vectors: DataFrame) -> DataFrame:
         *(F.percentile_approx(x, 0.5, ACCURACY).alias(f"m{i}") for i, x in enumerate(FEATURES))
     )
     medians = runtime.materialise(medians, "medians")
-    spread = vectors.join(medians, "cell").groupBy("cell").agg(
+    spread = vectors.join(small(medians, MOST_CELLS), "cell").groupBy("cell").agg(
         *(F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"s{i}") for i, x in enumerate(FEATURES))
     )
     floors = [floor for _, floor in FEATURES.values()]
@@ -131,10 +132,10 @@ def _start(vectors: DataFrame) -> DataFrame:
 
 def _concentrate(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
     """One concentration step: the nearest rows of every cell give the next centre and scatter."""
-    placed = vectors.join(estimate, "cell").withColumn("d2", _distance())
+    placed = vectors.join(small(estimate, MOST_CELLS), "cell").withColumn("d2", _distance())
     cuts = placed.groupBy("cell").agg(F.percentile_approx("d2", CORE, ACCURACY).alias("cut"))
     cuts = runtime.materialise(estimate.join(cuts, "cell"), "cuts")
-    near = vectors.join(cuts, "cell").withColumn("d2", _distance()).filter("d2 <= cut")
+    near = vectors.join(small(cuts, MOST_CELLS), "cell").withColumn("d2", _distance()).filter("d2 <= cut")
     names = list(FEATURES)
     n = len(names)
     sums = near.groupBy("cell").agg(
@@ -198,7 +199,7 @@ def robust_quality(
     cells = runtime.materialise(_cells(judged, language, source), "cell-names")
     features = [F.expr(e).alias(n) for n, (e, _) in FEATURES.items()]
     same = F.col(language).eqNullSafe(F.col("_l2")) & F.col(source).eqNullSafe(F.col("_s2"))
-    vectors = judged.join(cells, same).select("cell", *features).filter("cell is not null")
+    vectors = judged.join(small(cells, MOST_CELLS), same).select("cell", *features).filter("cell is not null")
     vectors = runtime.materialise(vectors, "vectors")
     estimate = runtime.materialise(_start(vectors), "estimate")
     last = None
@@ -208,13 +209,13 @@ def robust_quality(
         if last is not None and now > last - 1e-3:
             break
         last = now
-    placed = vectors.join(estimate, "cell").withColumn("d2", _distance())
+    placed = vectors.join(small(estimate, MOST_CELLS), "cell").withColumn("d2", _distance())
     scale = placed.groupBy("cell").agg(
         (F.greatest(F.percentile_approx("d2", 0.5, ACCURACY), F.lit(1e-9)) / MEDIAN_CHI2).alias("scale")
     )
     final = runtime.materialise(cells.join(estimate.join(scale, "cell"), "cell", "left"), "final")
     values = [c for c in final.columns if c not in ("cell", "_l2", "_s2")]
-    told = stored.join(final, same, "left").select(*stored.columns, *features, *values)
+    told = stored.join(small(final, MOST_CELLS), same, "left").select(*stored.columns, *features, *values)
     distance = F.when(~F.col("base_failed"), _distance() / F.col("scale"))
     told = told.select(*stored.columns, distance.alias("distance"))
     keep = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cut)
