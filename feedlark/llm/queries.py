@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlark.llm import bpe, chat, decontam, hilbert, linededup, quality, secretscan
+from feedlark.llm import bpe, chat, decontam, hilbert, linededup, neardup, quality, secretscan
 
 SHARDS = 40
 BPE_FILE = "byte_bpe_50k.json"
@@ -81,6 +81,11 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs).withColumnRenamed("doc", "doc_id")
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secretscan.scan(docs).drop("text")
@@ -116,7 +121,7 @@ def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op6_line_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op6_line_dedup, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
 
 SQL: dict[str, str] = {
     # every window of whole lines, compared with all others: no fingerprints
