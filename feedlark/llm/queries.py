@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlark.llm import bpe, chat, decontam, hilbert, linededup, neardup, quality, secretscan
+from feedlark.llm import bpe, chat, decontam, hilbert, linededup, neardup, quality, secretscan, toxicity
 
 SHARDS = 40
 BPE_FILE = "byte_bpe_50k.json"
@@ -62,6 +62,13 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op5_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.with_round_trip(docs, public_tokenizers.path(BPE_FILE)).drop("text")
@@ -90,9 +97,9 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secretscan.scan(docs).drop("text")
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secretscan.BASE]))
+    kinds = F.transform("spans", lambda s: s["kind"])
     counts = [
-        F.size(F.filter("spans", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}")
-        for r in secretscan.BASE
+        (F.size("spans") - F.size(F.array_remove(kinds, r.kind))).cast("long").alias(f"n_{r.kind}") for r in secretscan.BASE
     ]
     return found.select(
         "doc_id",
@@ -121,7 +128,7 @@ def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op5_bpe_round_trip, op6_line_dedup, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op3_toxicity, op5_bpe_round_trip, op6_line_dedup, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
 
 SQL: dict[str, str] = {
     # every window of whole lines, compared with all others: no fingerprints

@@ -74,9 +74,10 @@ def test_own_rule_and_query_on_the_whole_table(spark):
     df = spark.createDataFrame([(1, "zz zq zqq")], "doc_id long, text string")
     got = secretscan.scan(df, rules=(Rule("z", "zq+", 0, 3),)).first()
     assert [tuple(s) for s in got["spans"]] == [("z", 6, 9)]
-    found = {r["doc_id"]: r for r in queries.op8_secret_scan(spark, "/root/testdata/sf0.001").collect()}
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    found = {r["doc_id"]: r for r in queries.op8_secret_scan(spark, "/root/testdata/sf0.01").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
     assert len(found) == len(docs)
+    assert sum(r["n_assign"] + r["n_access"] + r["n_hex"] for r in found.values()) > 0
     for d in docs:
         want, r = plain(d["text"]), found[d["doc_id"]]
         assert [r[f"n_{k.kind}"] for k in BASE] == [sum(s[0] == k.kind for s in want) for k in BASE]
