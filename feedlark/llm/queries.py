@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlark.llm import bpe, chat, decontam, hilbert, linededup, neardup, quality, secretscan, toxicity
+from feedlark import runtime
+from feedlark.llm import bpe, chat, decontam, hilbert, linededup, neardup, quality, secretscan, toxicity, warc
 
 SHARDS = 40
 BPE_FILE = "byte_bpe_50k.json"
@@ -69,6 +70,18 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op4_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    read = warc.read_archives(warc.write_archives(pages, runtime.scratch_path(spark, "warc")))
+    return read.select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op5_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.with_round_trip(docs, public_tokenizers.path(BPE_FILE)).drop("text")
@@ -128,9 +141,16 @@ def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op3_toxicity, op5_bpe_round_trip, op6_line_dedup, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op3_toxicity, op4_warc_archives, op5_bpe_round_trip, op6_line_dedup, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
 
 SQL: dict[str, str] = {
+    "op4_warc_archives": """
+with p as (select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as n from pages),
+     f as (select html, min(page_id) as first from p where n >= 100 group by html)
+select p.page_id, n as payload_bytes, sha256(p.html) as payload_digest,
+       case when first <> p.page_id then 'revisit' else 'response' end as record_type,
+       case when first <> p.page_id then first end as refers_to
+from p left join f using (html)""",
     # every window of whole lines, compared with all others: no fingerprints
     "op6_line_dedup": r"""
 with raw as (
