@@ -11,7 +11,8 @@ Decoding is a state machine from bytes to text: of a token's bytes, an unfinishe
 for the next token. Invalid bytes become U+FFFD, one for each maximal part of a character.
 
 Defined results: null is the empty text, which has no tokens; the string of a special token in a
-text is that token; repeated rows are encoded each; all columns of the input are kept.
+text is that token; repeated rows are encoded each; all columns of the input are kept,
+but for those named like an added one.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlark.llm.common import check_clash
+from feedlark.llm.common import shield, unshield
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -286,19 +287,19 @@ def round_trip(text: str, v: Vocabulary) -> tuple[int, str, str]:
 
 def with_ids(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """`df` with ids (array of int): the tokens of the whole text."""
-    check_clash(df.columns, ("ids",))
+    df, names = shield(df, text)
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
         v = vocabulary(path)
         return pd.Series([[i for group in encode(t or "", v) for i in group] for t in texts])
 
-    return df.withColumn("ids", ids(F.col(text)))
+    return unshield(df.withColumn("ids", ids(F.col(text))), names)
 
 
 def with_text(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """`df` with decoded: the text of the ids; null ids are the empty text."""
-    check_clash(df.columns, ("decoded",))
+    df, names = shield(df, ids)
 
     @F.pandas_udf("string")
     def text(lists: pd.Series) -> pd.Series:
@@ -308,16 +309,16 @@ def with_text(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             out.append(decoder.feed(given if given is not None else ()) + decoder.finish())
         return pd.Series(out)
 
-    return df.withColumn("decoded", text(F.col(ids)))
+    return unshield(df.withColumn("decoded", text(F.col(ids))), names)
 
 
 def with_round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """`df` with n_tokens, ids_sha256 (of the decimal ids, joined by commas) and decoded_sha256."""
-    check_clash(df.columns, ("n_tokens", "ids_sha256", "decoded_sha256", "_told"))
+    df, names = shield(df, text)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def told(texts: pd.Series) -> pd.DataFrame:
         v = vocabulary(path)
         return pd.DataFrame([round_trip(t or "", v) for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return df.withColumn("_told", told(F.col(text))).select(*df.columns, "_told.*")
+    return unshield(df.withColumn("_told", told(F.col(text))).select(*df.columns, "_told.*"), names)

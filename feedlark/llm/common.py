@@ -19,9 +19,17 @@ def pieces(text: Column, between: str) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), between, -1), "")
 
 
-def check_clash(columns: list[str], added: tuple[str, ...]) -> None:
-    if clash := set(columns) & set(added):
-        raise ValueError(f"columns {sorted(clash)} are added here; rename them first")
+def shield(df: DataFrame, *needed: str) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with the columns that an operator does not need under names that clash with nothing."""
+    names = {c: f"__{i}__{c}" for i, c in enumerate(df.columns) if c not in needed}
+    return df.withColumnsRenamed(names), names
+
+
+def unshield(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The old names; an input column of the name of an added one is replaced by that."""
+    added = {c.lower() for c in df.columns} - {hidden.lower() for hidden in names.values()}
+    lost = [hidden for c, hidden in names.items() if c.lower() in added]
+    return df.drop(*lost).withColumnsRenamed({hidden: c for c, hidden in names.items() if hidden not in lost})
 
 
 def small(df: DataFrame, most: int) -> DataFrame:

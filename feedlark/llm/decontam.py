@@ -14,7 +14,8 @@ its words times the items that match there.
 
 Defined results: null and wordless texts have no words, no hits, and are not contaminated; wordless
 items match nothing; repeated items of one id are items of their own that count as one id; repeated
-documents are judged each; without documents or items there are no hits.
+documents are judged each; without documents or items there are no hits; a carried
+column of the name of an added one is replaced by it.
 """
 
 from __future__ import annotations
@@ -23,13 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.llm.common import ascii_lower, check_clash, pieces, small
+from feedlark.llm.common import ascii_lower, pieces, shield, small, unshield
 
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what is not part of a word, in lower case (fixed value)
 WINDOW = 13
 SHARE = 20  # contaminated: one word of so many is hit
 MOST_TERMS = 1_000_000  # rows of a benchmark table that is broadcast
-ADDED = ("n_words", "n_hit", "items", "contaminated")
 
 
 def words_of(text: str) -> Column:
@@ -154,8 +154,9 @@ def decontaminate(
     most_terms: int = MOST_TERMS,
 ) -> DataFrame:
     """The columns `carry` (all, unless named) with n_words, n_hit, items (sorted ids) and contaminated."""
-    carry = docs.columns if carry is None else carry
-    check_clash(carry, (*ADDED, "row", "words"))
+    wanted = docs.columns if carry is None else carry
+    docs, names = shield(docs.select(*wanted, F.col(text).alias("__text")), "__text")
+    carry, text = list(names.values()), "__text"
     stored = store_words(docs, text, carry)
     chosen = store_items(items, key, "text")
     index = build_index(stored, chosen, most_terms)
@@ -163,10 +164,11 @@ def decontaminate(
     hits = runtime.materialise(hit_words(phrase_matches(stored, chosen, found, most_terms)), "hits")
     told = stored.select(*carry, "row", "n_words").join(hits, "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return told.select(
+    judged = told.select(
         *carry,
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         ((n_hit > 0) & (SHARE * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+    return unshield(judged, names)

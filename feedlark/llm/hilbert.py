@@ -7,7 +7,7 @@ the shards whose bounds lie outside.
 
 Defined results: nulls of a dimension form its first cell; ties are ordered by the columns named in
 `ties` and then as Spark finds them; repeated rows are rows of their own; an empty table gives no
-shards. All columns of the input are kept, and the columns added must not be among them.
+shards. All columns of the input are kept, but for those named like an added one.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlark import runtime
+from feedlark.llm.common import shield, unshield
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of this package
 
-ADDED = ("curve", "shard", "slot")
 ACCURACY = 10_000  # of the quantiles: the rank of a bound is off by at most rows / ACCURACY
 
 
@@ -96,10 +96,12 @@ def hilbert_shards(
     crowded cell by `ties`; a row's place is its place in its range plus the rows of the ranges
     before it, of which there are as many as partitions.
     """
-    if clash := set(df.columns) & {*ADDED, "place", "part"}:
-        raise ValueError(f"columns {sorted(clash)} are added here")
     if bits * len(dimensions) > 62:
         raise ValueError("the index must fit into a long")
+    df = df.withColumns({f"__d{i}": c for i, c in enumerate(dimensions.values())} | {f"__t{i}": F.col(c) for i, c in enumerate(ties)})
+    dimensions = {f"__d{i}": F.col(f"__d{i}") for i in range(len(dimensions))}
+    ties = tuple(f"__t{i}" for i in range(len(ties)))
+    df, names = shield(df, *dimensions, *ties)
     bounds = quantile_bounds(df, dimensions, bits)
     indexed = df.withColumn("curve", curve_index(list(dimensions.values()), bounds, bits))
     ordered = indexed.repartitionByRange("curve", *ties).sortWithinPartitions("curve", *ties)
@@ -120,7 +122,8 @@ def hilbert_shards(
         late = F.col("place") - edge
         shard = F.when(late < 0, F.floor(F.col("place") / (small + 1))).otherwise(larger + F.floor(late / small))
         slot = F.when(late < 0, F.col("place") % (small + 1)).otherwise(late % small)
-    return ranked.select(*df.columns, "curve", shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
+    told = ranked.select(*names.values(), "curve", shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
+    return unshield(told, names)
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:

@@ -32,7 +32,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.llm.common import check_clash
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -42,7 +41,6 @@ BANDS, BAND_ROWS = 36, 7
 BATCHES, BATCH = 4, 63  # bits of the signature that are compared at a time; BANDS * BAND_ROWS in all
 MISS = 1e-6
 BLOCK = 4096  # shingles that are hashed at a time
-ADDED = ("n_shingles", "component_id", "kept")
 
 _random = np.random.Generator(np.random.PCG64(20_03))
 _WORD = _random.integers(1, 1 << 63, SHINGLE + 1, dtype=np.uint64) | np.uint64(1)
@@ -261,7 +259,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that stay: of each group of near copies the document of the smallest id."""
-    check_clash(docs.columns, ("_gone",))
     judged = near_duplicates(docs, key, text)
-    gone = runtime.materialise(judged.filter("not kept").select(F.col("doc").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[key].cast("long") == gone["_gone"], "left_anti")
+    gone = runtime.materialise(judged.filter("not kept").select(F.col("doc").alias("__gone")).distinct(), "gone")
+    return docs.join(gone, docs[key].cast("long") == gone["__gone"], "left_anti")

@@ -13,7 +13,8 @@ which is joined to the vectors; only the vectors (a few numbers a row) are shuff
 Defined results: a null text has no words and fails the base rules; null languages and sources are
 values of their own; sources of fewer than `LEAST_ROWS` judged texts are taken together within their
 language, then over all languages, and if even those are few, they are not rejected. Repeated rows
-count as often as they occur; an empty table stays empty. All columns of the input are kept.
+count as often as they occur; an empty table stays empty. All columns
+of the input are kept, but for those named like an added one.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.llm.common import BLANKS, check_clash, pieces, small
+from feedlark.llm.common import BLANKS, pieces, shield, small, unshield
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 CORE = 0.75  # share of rows that the estimate rests on
@@ -76,7 +77,8 @@ def _repeat_count(windows: Column) -> Column:
 
 def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """`df` with the base statistics of whole texts."""
-    check_clash(df.columns, (*STATISTICS, "base_failed", "_words", "_windows"))
+    df, names = shield(df.withColumn("__text", F.col(text)), "__text")
+    text = "__text"
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n", -1), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]")))
     split = df.withColumn("_words", pieces(F.col(text), BLANKS))
@@ -90,7 +92,7 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     split = split.withColumn("_windows", windows).withColumn("_lines", lines)
     several = F.size(F.array_distinct("_windows")) < F.size("_windows")
     counted = split.select(
-        *df.columns,
+        *names.values(),
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count(whole, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -98,7 +100,7 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
         F.when(several, _repeat_count(F.col("_windows"))).otherwise(0).cast("long").alias("n_repeat_words"),
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return counted.withColumn("base_failed", failed)
+    return unshield(counted.withColumn("base_failed", failed), names)
 
 
 def _distance(centre: str = "m") -> Column:
@@ -193,7 +195,9 @@ def robust_quality(
 
     The rows are stored, so drop the text first where it is not needed.
     """
-    check_clash(counted.columns, ("distance", "kept", "cell", "_l2", "_s2", *FEATURES))
+    counted = counted.withColumns({"__language": F.col(language), "__source": F.col(source)})
+    language, source = "__language", "__source"
+    counted, names = shield(counted, language, source, *STATISTICS, "base_failed")
     stored = runtime.materialise(counted, "statistics")
     judged = stored.filter(~F.col("base_failed"))
     cells = runtime.materialise(_cells(judged, language, source), "cell-names")
@@ -219,4 +223,4 @@ def robust_quality(
     distance = F.when(~F.col("base_failed"), _distance() / F.col("scale"))
     told = told.select(*stored.columns, distance.alias("distance"))
     keep = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cut)
-    return told.withColumn("kept", keep)
+    return unshield(told.drop(language, source).withColumn("kept", keep), names)

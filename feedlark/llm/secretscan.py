@@ -12,7 +12,8 @@ rule are the leftmost that do not overlap.
 
 Defined results: null is the empty text; repeated rows are scanned each; an id that stands on several
 texts makes all of them candidates of what any of them matches, which verification sorts out; an
-empty table gives no rows. All columns of the input are kept.
+empty table gives no rows. All columns of the input are kept, but for those
+named like an added one.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.llm.common import ascii_lower, check_clash
+from feedlark.llm.common import ascii_lower, shield, unshield
 
 MOST_STRINGS = 16  # alternatives that are kept apart while a query is derived; beyond, fewer trigrams are asked
 
@@ -181,7 +182,8 @@ def spans_of(found: Column, text: Column, rule: Rule) -> Column:
 
 def scan(df: DataFrame, doc: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
     """`df` with spans: array of (kind, start, end), by start and then in the order of the rules."""
-    check_clash(df.columns, ("spans", "kinds", "_doc", "_text", *(f"_found{n}" for n in range(len(rules)))))
+    df, names = shield(df.withColumns({"__id": F.col(doc), "__text": F.col(text)}), "__id", "__text")
+    doc, text = "__id", "__text"
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     trigrams = sorted(set().union(*(c for clauses in queries.values() for c in clauses)))
     index = runtime.materialise(postings(df, doc, text, trigrams), "trigrams")
@@ -207,7 +209,7 @@ def scan(df: DataFrame, doc: str = "doc_id", text: str = "text", rules: tuple[Ru
 
     ranked = F.sort_array(F.transform(F.concat(*places), rank))
     plain = F.transform(ranked, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return joined.select(*(F.col(c) for c in df.columns), plain.alias("spans"))
+    return unshield(joined.select(*names.values(), plain.alias("spans")), names)
 
 
 def joined_spans(spans: Column) -> Column:

@@ -13,7 +13,8 @@ score. Rows of `is_held_out` take no part in learning from labels.
 Defined results: null and empty texts have no terms and get the score of a text on which all are
 silent; repeated labels of an id count as toxic if one of them says so; null labels are left out; without
 labels, or without any term that speaks for toxicity, all scores are the assumed share of toxic texts.
-Repeated rows get equal scores. All columns of the input are kept.
+Repeated rows get equal scores. All columns of the input
+are kept, but for those named like an added one.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.llm.common import check_clash
+from feedlark.llm.common import shield, unshield
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -268,7 +269,7 @@ def fit(
 
 def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`df` with score (0 to 1) and predicted (1 from a score of 0.5)."""
-    check_clash(df.columns, ("score", "predicted"))
+    df, names = shield(df.withColumn("__text", F.col(text)), "__text")
     bias, weights = model.bias, model.weights
 
     @F.pandas_udf("double")
@@ -276,5 +277,5 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         sums = [bias + math.fsum(map(weights.__getitem__, weights.keys() & terms(t))) for t in texts]
         return pd.Series([_probability(s) for s in sums], dtype=float)
 
-    scored = df.withColumn("score", probability(F.col(text)))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = df.select(*names.values(), probability(F.col("__text")).alias("score"))
+    return unshield(scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")), names)

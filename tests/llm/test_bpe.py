@@ -75,8 +75,9 @@ def test_columns_nulls_and_empty_table(spark, library):
     assert [r["decoded"] for r in got] == ["", "", "", "a <|endoftext|> b"]
     assert got[3]["ids"] == library.encode("a <|endoftext|> b", add_special_tokens=False).ids
     assert bpe.with_round_trip(df.limit(0), PATH).count() == 0
-    with pytest.raises(ValueError):
-        bpe.with_ids(df.withColumnRenamed("doc_id", "ids"), PATH)
+    clash = df.selectExpr("doc_id as ids", "text", "7 as _told", "8 as n_tokens")
+    assert bpe.with_ids(clash, PATH).columns == ["text", "_told", "n_tokens", "ids"]
+    assert [r["n_tokens"] for r in bpe.with_round_trip(clash, PATH).collect()][:2] == [0, 0]
 
 
 def test_query_on_the_whole_table(spark, library):

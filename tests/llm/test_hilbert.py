@@ -42,8 +42,10 @@ def test_shards_are_even_and_in_curve_order(spark, n, shards):
 def test_equal_rows_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "x")] * 50, "id long, lang string")
     check(hilbert.hilbert_shards(df, {"id": F.col("id")}, 4).collect(), 4)
-    with pytest.raises(ValueError):
-        hilbert.hilbert_shards(df.withColumn("slot", F.lit(1)), {"id": F.col("id")}, 4)
+    clash = df.select("*", *(F.lit(-9).alias(c) for c in ("slot", "place", "part", "curve")))
+    got = hilbert.hilbert_shards(clash, {"id": F.col("id")}, 4, ties=("lang",)).collect()
+    check(got, 4)
+    assert {(r["place"], r["part"]) for r in got} == {(-9, -9)}
 
 
 def test_a_box_touches_few_shards(spark, tmp_path):

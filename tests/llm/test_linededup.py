@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from feedlark.llm import linededup, queries
@@ -53,8 +52,9 @@ def test_repeated_rows_nulls_and_empty_table(spark):
     got = linededup.dedup_lines(df).collect()
     assert sorted(((r["doc_id"], r["kept_text"]) for r in got), key=repr) == [(1, ""), (1, ""), (2, "own\nend"), (None, line)]
     assert linededup.dedup_lines(df.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        linededup.dedup_lines(df.withColumn("deleted", F.lit(1)))
+    clash = df.select("*", *(F.lit(9).alias(c) for c in ("deleted", "row", "lines", "key", "first")))
+    got = linededup.dedup_lines(clash).collect()
+    assert sorted(r["n_deleted"] for r in got) == [0, 1, 1, 1] and {(r["row"], r["key"]) for r in got} == {(9, 9)}
 
 
 def test_short_repetitions_stay(spark):

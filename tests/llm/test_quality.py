@@ -46,8 +46,10 @@ def test_outliers_go_and_the_rest_stays(spark):
     rows = [(i, text(rnd.randint(80, 400)), "en", "big" if i < 350 else None) for i in range(600)]
     rows += [(1000 + i, text(100).replace(" ", " #$%&*| "), "en", "big") for i in range(20)]
     rows += [(2000, text(200), "xx", "few"), (2001, "short", "xx", "few")]
-    df = spark.createDataFrame(rows, SCHEMA).withColumn("m0", F.lit("clash"))
-    got = quality.robust_quality(quality.with_statistics(df).drop("m0")).collect()
+    df = spark.createDataFrame(rows, SCHEMA)
+    df = df.select("*", *(F.lit("clash").alias(c) for c in ("m0", "l00", "cell", "distance", "length", "n_words")))
+    got = quality.robust_quality(quality.with_statistics(df)).collect()
+    assert {r["m0"] for r in got} == {"clash"}
     kept = {r["doc_id"]: r["kept"] for r in got}
     assert len(got) == len(rows) and all(kept[i] for i in range(600)) and not any(kept[1000 + i] for i in range(20))
     assert kept[2000] and not kept[2001]
