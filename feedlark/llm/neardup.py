@@ -7,10 +7,11 @@ Parthasarathy, "Bayesian locality sensitive search", 2012); a batch holds one bi
 (Li and König, "b-Bit minwise hashing", 2010), so it costs one exclusive or, inside the join. What is left is
 verified on the full sets of shingles.
 
-Large buckets are not expanded into pairs. First every member meets the smallest member of its
-buckets; buckets whose members are then in one component are done. Those that are mixed meet another
-member each, and only what is still mixed after that is compared member by member, between different
-components, and within the signature's bounds. So no candidate link between components is left out.
+Large buckets are not expanded into pairs. First every node meets one other, the smallest that shares a
+bucket with it; buckets whose members are then in one component are done. In those that are mixed each
+node meets one more of another component, and again, and only what is still mixed after that is
+compared member by member, between different components, by tasks that each hold two blocks of a
+bucket and give back links alone. So no candidate link between components is left out.
 
 A pair of similarity 0.85 shares no band with probability (1 - 0.85**7)**36 < 1e-6.
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,6 +42,8 @@ SHARE = (85, 100)  # linked: intersection * 100 >= union * 85
 BANDS, BAND_ROWS = 36, 7
 BATCHES, BATCH = 4, 63  # bits of the signature that are compared at a time; BANDS * BAND_ROWS in all
 MISS = 1e-6
+TURNS = 2  # meetings of a node with one node of another component, before all such pairs are compared
+MEMBERS = 1024  # nodes of a bucket that meet in one task with as many others
 BLOCK = 4096  # shingles that are hashed at a time
 
 _random = np.random.Generator(np.random.PCG64(20_03))
@@ -108,6 +112,7 @@ def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 SKETCH = "doc long, n long, d1 long, d2 long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
 
 
+@lru_cache(maxsize=4)
 def most_mismatches(threshold: float = SHARE[0] / SHARE[1], miss: float = MISS) -> list[int]:
     """After each batch, the most differing bits with which a pair still goes on.
 
@@ -214,6 +219,97 @@ def mixed_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return runtime.materialise(placed.join(mixed, "key"), "mixed-buckets")
 
 
+def other_stars(mixed: DataFrame, turn: int) -> DataFrame:
+    """(a, b): nodes with one node of another component each: of the leads of its buckets, which are
+    the first nodes by a hash of the turn, a node meets the first that is in another component."""
+    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "component")
+    first = mixed.groupBy("key").agg(F.min(order).alias("lead"))
+    first = runtime.materialise(first.select("key", F.col("lead.o").alias("o"), F.col("lead.node").alias("a"), F.col("lead.component").alias("c")), "leads")
+    met = mixed.join(first, "key").filter("component <> c")
+    stars = met.groupBy("node").agg(F.min(F.struct("o", "a")).alias("lead"))
+    return stars.select(F.col("lead.a").alias("a"), F.col("node").alias("b"))
+
+
+def compare_group(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Links between the components of one pair of a bucket's blocks. Rows are (key, i, j, block, node,
+    component, n, s0 to s3, bands, text). A pair is compared in the first band that it shares, and no
+    longer once its components are joined; the likeliest partners come first."""
+    key, i, j = rows[0][:3]
+    left = [r for r in rows if r[3] == i]
+    right = left if i == j else [r for r in rows if r[3] == j]
+    if not right or len({r[5] for r in rows}) < 2:
+        return
+    component, sizes = (np.array([r[k] for r in right], dtype=np.int64) for k in (5, 6))
+    bits = np.array([r[7:11] for r in right], dtype=np.int64).view(np.uint64)
+    bands = np.array([r[11] for r in right], dtype=np.int64)
+    limits, band = most_mismatches(), int(np.argmax(np.array(left[0][11]) == key))
+    joined: dict[int, int] = {}
+    sets: dict[int, set] = {}
+
+    def root(c: int) -> int:
+        while c in joined:
+            c = joined[c]
+        return c
+
+    def full(row: tuple) -> set:
+        if row[4] not in sets:
+            sets[row[4]] = shingles(words_of(row[12]))
+        return sets[row[4]]
+
+    for at, a in enumerate(left):
+        start = at + 1 if i == j else 0
+        hope = component[start:] != a[5]
+        hope &= SHARE[1] * np.minimum(sizes[start:], a[6]) >= SHARE[0] * np.maximum(sizes[start:], a[6])
+        if not hope.any():
+            continue
+        if band:
+            hope &= ~(bands[start:, :band] == np.array(a[11][:band])).any(axis=1)
+        differing = np.bitwise_count(bits[start:] ^ np.array(a[7:11], dtype=np.int64).view(np.uint64)).cumsum(axis=1)
+        hope &= (differing <= limits).all(axis=1)
+        found = np.flatnonzero(hope)
+        for k in found[np.argsort(differing[found, -1], kind="stable")]:
+            b = right[start + k]
+            if root(a[5]) == root(b[5]):
+                continue
+            common = len(full(a) & full(b))
+            if SHARE[1] * common >= SHARE[0] * (len(full(a)) + len(full(b)) - common):
+                joined[root(a[5])] = root(b[5])
+                yield a[4], b[4]
+
+
+def compare_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Groups of rows follow one another and may go over the end of a frame."""
+    group: list[tuple] = []
+    for frame in frames:
+        links = []
+        for row in frame.itertuples(index=False, name=None):
+            if group and group[0][:3] != row[:3]:
+                links += compare_group(group)
+                group = []
+            group.append(row)
+        yield pd.DataFrame(links, columns=["a", "b"])
+    if group:
+        yield pd.DataFrame(list(compare_group(group)), columns=["a", "b"])
+
+
+def compare_all(mixed: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links between the components of mixed buckets. A bucket is cut into blocks of some
+    `MEMBERS` nodes, and every pair of its blocks is compared by one task; pairs of nodes are never rows."""
+    counts = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    counts = runtime.materialise(counts, "members").withColumn("blocks", F.ceil(F.col("members") / MEMBERS).cast("int"))
+    placed = mixed.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = placed.select("key", "node", "component", "block", other)
+    pairs = pairs.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    marks = nodes.select("node", "n", "s0", "s1", "s2", "s3", "bands").join(texts, "node")
+    marks = runtime.materialise(marks.join(mixed.select("node").distinct(), "node", "left_semi"), "marks")
+    whole = pairs.join(marks, "node").select(
+        "key", "i", "j", "block", "node", "component", "n", "s0", "s1", "s2", "s3", "bands", "text"
+    )
+    sorted_groups = whole.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return runtime.materialise(sorted_groups.mapInPandas(compare_groups, "a long, b long").distinct(), "links")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, n_shingles, component_id, kept): one row per row of `docs`."""
     given = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
@@ -228,21 +324,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     met = runtime.materialise(buckets.select("node").distinct(), "met")
     texts = runtime.materialise(given.join(met, F.col("doc") == F.col("node")).select("node", "text"), "texts")
 
-    stars = buckets.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    labels = runtime.materialise(components(verify(stars, nodes, texts)), "components")
-
-    mixed = mixed_buckets(buckets.select("key", "node"), labels)
-    other = mixed.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key").alias("o"), "node", "component")).alias("lead"))
-    other = runtime.materialise(other.select("key", F.col("lead.node").alias("a"), F.col("lead.component").alias("c")), "leads")
-    stars = mixed.join(other, "key").filter("component <> c").select("a", F.col("node").alias("b")).distinct()
-    labels = merge(labels, verify(stars, nodes, texts))
+    stars = buckets.groupBy("node").agg(F.min("lead").alias("a")).filter("node <> a")
+    labels = runtime.materialise(components(verify(stars.select("a", F.col("node").alias("b")), nodes, texts)), "components")
+    mixed = buckets.select("key", "node")
+    for turn in range(TURNS):
+        mixed = mixed_buckets(mixed.select("key", "node"), labels)
+        labels = merge(labels, verify(other_stars(mixed, turn), nodes, texts))
 
     mixed = mixed_buckets(mixed.select("key", "node"), labels)
-    marked = runtime.materialise(mixed.join(nodes.drop("bands", "d1", "d2"), "node"), "marked")
-    ends = [marked.select("key", *(F.col(c).alias(f"{x}{c}") for c in marked.columns if c != "key")) for x in ("a", "b")]
-    apart = (F.col("acomponent") < F.col("bcomponent")) & likely("a", "b")
-    pairs = ends[0].join(ends[1], (ends[0]["key"] == ends[1]["key"]) & apart)
-    labels = merge(labels, verify(pairs.select(F.col("anode").alias("a"), F.col("bnode").alias("b")).distinct(), nodes, texts))
+    labels = merge(labels, compare_all(mixed, nodes, texts))
 
     copies = nodes.select("d1", "d2", "node").join(labels, "node", "left")
     copies = runtime.materialise(copies.select("d1", "d2", F.coalesce("component", "node").alias("component")), "copies")

@@ -99,3 +99,17 @@ def test_query_on_the_whole_table(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain(docs)
     assert not all(r["kept"] for r in got) and len(got) == len(docs)
+
+
+def test_blocks_of_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "MEMBERS", 4)
+    monkeypatch.setattr(neardup, "TURNS", 0)
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    docs = []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(rnd.randint(0, 4)):
+            copy[rnd.randrange(60)] = f"n{rnd.randrange(10)}"
+        docs.append((100 - i, " ".join(copy)))
+    assert judged(spark.createDataFrame(docs, "doc_id long, text string")) == plain(docs)
