@@ -237,7 +237,7 @@ def compare_group(rows: list[tuple]) -> Iterator[tuple[int, int]]:
     key, i, j = rows[0][:3]
     left = [r for r in rows if r[3] == i]
     right = left if i == j else [r for r in rows if r[3] == j]
-    if not right or len({r[5] for r in rows}) < 2:
+    if not left or not right or len({r[5] for r in rows}) < 2:
         return
     component, sizes = (np.array([r[k] for r in right], dtype=np.int64) for k in (5, 6))
     bits = np.array([r[7:11] for r in right], dtype=np.int64).view(np.uint64)
