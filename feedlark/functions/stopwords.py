@@ -1,66 +1,69 @@
 """Stop-word profiles.
 
 The profiles differ on purpose: the `social` list drops negations and the `review` list keeps
-them, so the same sentence cleans differently depending on where it came from.
+them, so the same sentence cleans differently depending on where it came from. No list is derived
+from another.
 """
 
-# The word lists below decide results and must not be edited.
-
-REVIEW = """
-    a an and are at be been being but by can could did do does for had has have he her him
-    his i in is it its may me might must my of on or our she should that the their them
-    these they this those to us was we were will with would you your
-""".split()
-
-PRODUCT = sorted(REVIEW + """
-    about above after again am before below during from further into off once out over then
-    through under up
-""".split())
+# The five lists below decide results and must not be edited.
 
 SOCIAL = """
-    a above after again all am an and any are as at be because been before being below both
-    but by can did do does doing don down during each few for further had has have having he
-    her here hers herself him himself his how i if in is it its itself just me more most my
-    myself no nor not now of off on once only or other our ours ourselves out over own s
-    same she should so some such t than that the their theirs them themselves then there
-    these they this those through too under until up very was we were what when where which
-    while who whom why will with you your yours yourself yourselves
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself
+    she her hers herself it its itself they them their theirs themselves what which who whom
+    this that these those am is are was were be been being have has had having do does did doing
+    a an the and but if or because as until while of at by for with through during before after
+    above below up down in out on off over under again further then once here there when where
+    why how all any both each few more most other some such no nor not only own same so than too
+    very s t can will just don should now
 """.split()
 
-MAPPING = """
-    a about above after again against am an and are as at be because been before being below
-    between by can could dare did do does doing down during for from further had has have
-    having he her hers herself him himself his i if in into is it its may me might must my
-    myself need of off on once or ought our ours ourselves out over shall she should that
-    the their theirs them themselves then these they this those through to under until up
-    was we what which while who whom will with would you your yours yourself yourselves
+PRODUCT = """
+    the a an and or but in on at to for of with by is are was were be been being have has had do
+    does did will would could should may might must can this that these those i you he she it we
+    they me him her us them my your his her its our their am from up about into through during
+    before after above below out off over under again further then once
 """.split()
 
-# The public 318-word English list: every word of the lists above but for a few, and some more.
-_NOT_ENGLISH318 = """
-    dare did does doing don having just need ought s shall t theirs
+REVIEW = """
+    the a an and or but in on at to for of with by is are was were be been being have has had do
+    does did will would could should may might must can this that these those i you he she it we
+    they me him her us them my your his her its our their
 """.split()
 
-_MORE_ENGLISH318 = """
-    across afterwards almost alone along already also although always among amongst amoungst
-    amount another anyhow anyone anything anyway anywhere around back became become becomes
-    becoming beforehand behind beside besides beyond bill bottom call cannot cant co con
-    couldnt cry de describe detail done due eg eight either eleven else elsewhere empty
-    enough etc even ever every everyone everything everywhere except fifteen fifty fill find
-    fire first five former formerly forty found four front full get give go hasnt hence
-    hereafter hereby herein hereupon however hundred ie inc indeed interest keep last latter
-    latterly least less ltd made many meanwhile mill mine moreover mostly move much name
-    namely neither never nevertheless next nine nobody none noone nothing nowhere often one
-    onto others otherwise part per perhaps please put rather re see seem seemed seeming
-    seems serious several show side since sincere six sixty somehow someone something
-    sometime sometimes somewhere still system take ten thence thereafter thereby therefore
-    therein thereupon thick thin third though three throughout thru thus together top toward
-    towards twelve twenty two un upon via well whatever whence whenever whereafter whereas
-    whereby wherein whereupon wherever whether whither whoever whole whose within without
-    yet
+MAPPING = """
+    a an and are as at be by for from has he in is it its of on that the to was will with i me
+    my myself we our ours ourselves you your yours yourself yourselves him his himself she her
+    hers herself they them their theirs themselves what which who whom this these those am been
+    being have had having do does did doing would should could ought can might must shall may
+    need dare if or because as until while about against between into through during before
+    after above below up down out off over under again further then once
 """.split()
 
-ENGLISH318 = sorted((set(PRODUCT + SOCIAL + MAPPING) - set(_NOT_ENGLISH318)) | set(_MORE_ENGLISH318))
+# The public English list of 318 words.
+ENGLISH318 = """
+    a about above across after afterwards again against all almost alone along already also
+    although always am among amongst amoungst amount an and another any anyhow anyone anything
+    anyway anywhere are around as at back be became because become becomes becoming been before
+    beforehand behind being below beside besides between beyond bill both bottom but by call can
+    cannot cant co con could couldnt cry de describe detail do done down due during each eg
+    eight either eleven else elsewhere empty enough etc even ever every everyone everything
+    everywhere except few fifteen fifty fill find fire first five for former formerly forty
+    found four from front full further get give go had has hasnt have he hence her here
+    hereafter hereby herein hereupon hers herself him himself his how however hundred i ie if in
+    inc indeed interest into is it its itself keep last latter latterly least less ltd made many
+    may me meanwhile might mill mine more moreover most mostly move much must my myself name
+    namely neither never nevertheless next nine no nobody none noone nor not nothing now nowhere
+    of off often on once one only onto or other others otherwise our ours ourselves out over own
+    part per perhaps please put rather re same see seem seemed seeming seems serious several she
+    should show side since sincere six sixty so some somehow someone something sometime
+    sometimes somewhere still such system take ten than that the their them themselves then
+    thence there thereafter thereby therefore therein thereupon these they thick thin third this
+    those though three through throughout thru thus to together too top toward towards twelve
+    twenty two un under until up upon us very via was we well were what whatever when whence
+    whenever where whereafter whereas whereby wherein whereupon wherever whether which while
+    whither who whoever whole whom whose why will with within without would yet you your yours
+    yourself yourselves
+""".split()
 
 # profile -> (stop words, shortest token kept)
 PROFILES = {

@@ -6,8 +6,7 @@ so the work is done once per distinct text and once per distinct bag of shared w
     posts -> distinct texts -> bags of shared words -> best names per bag
           <----------------- joined back by key ----<
 
-A bag meets only the names that could be among its best k (see `overlap_scores` and
-`Catalog.core_names`), which is exact.
+Every word of a bag meets the names that have it, and the products are summed by bag and name.
 Weights follow the usual smooth form: idf = ln((1+N)/(1+df)) + 1, weight = tf * idf, L2 norm.
 Names are ranked by their dot product with the unnormalised post, rounded to 6 decimals, then by
 lowest product id.
@@ -26,8 +25,6 @@ from feedlark.operators.texts import attach, distinct_texts, text_words
 
 MAX_FEATURES = 10_000
 BROADCAST_TERMS = 100_000  # the largest vocabulary that is sent to every executor
-HOT_NAMES = 1_000  # a word of more names than this is hot
-SLACK = 2e-6  # more than rounding to 6 decimals can move a score
 
 
 def term_stats(*sides: DataFrame) -> DataFrame:
@@ -65,81 +62,26 @@ def with_idf(words: DataFrame, terms: DataFrame, bounded: bool) -> DataFrame:
 def tfidf_weights(texts: DataFrame, vocab: DataFrame, bounded: bool = True) -> DataFrame:
     """(text_key, term, norm, weight): tf * idf over the norm of the text."""
     words = with_idf(text_words(texts), vocab.select("term", "idf", "df"), bounded)
-    words = words.select("text_key", "term", (F.col("tf") * F.col("idf")).alias("raw"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("text_key")))
-    words = words.withColumn("norm", norm)
+    raw = F.col("tf") * F.col("idf")
+    # the rows of a text lie together, so partial aggregation leaves one row per text to shuffle
+    bags = words.groupBy("text_key").agg(
+        F.sqrt(F.sum(raw * raw)).alias("norm"), F.collect_list(F.struct("term", raw.alias("raw"))).alias("bag")
+    )
+    words = bags.select("text_key", "norm", F.inline("bag"))
     return words.select("text_key", "term", "norm", (F.col("raw") / F.col("norm")).alias("weight"))
 
 
 @dataclass
 class Catalog:
-    """What scoring needs from the products; every table is small next to the posts."""
+    """What scoring needs from the products, stored once; every table is small next to the posts."""
 
-    names: DataFrame  # name_key, first_id (lowest product id), norm, vector: map<term, weight>
+    postings: DataFrame  # term, name_key, first_id (lowest product id), weight
     ids: DataFrame  # name_key, product_id, product_name: the k lowest ids per name
-    vocab: DataFrame  # term, idf, df
+    vocab: DataFrame  # term, idf, df, named (does a name have the term?)
+    cells: int  # rows of `postings`
     k: int = 1
     bounded: bool = True  # has the vocabulary a size limit, so that it may be broadcast
 
-    def postings(self) -> DataFrame:
-        """One row per word of a name: name_key, first_id, norm, vector, term, weight."""
-        return self.names.select("*", F.explode("vector").alias("term", "weight"))
-
-    def hot_terms(self, hot_names: int) -> DataFrame:
-        """The terms of more than `hot_names` names; broadcast if the vocabulary is."""
-        counts = self.postings().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-        hot = counts.filter(F.col("n") > hot_names).select("term")
-        return F.broadcast(hot) if self.bounded else hot
-
-    def terms(self, hot_names: int) -> DataFrame:
-        """(term, idf, df, cold, top, kth): the best weight of a term in any name, the k-th best (or
-        0), and whether at most `hot_names` names have it."""
-        tops = self.postings().select("term", "weight")
-        cold = (F.count(F.lit(1)) <= hot_names).alias("cold")
-        if self.k == 1:
-            tops = tops.groupBy("term").agg(cold, F.max("weight").alias("top"))
-            tops = tops.withColumn("kth", F.col("top"))
-        else:
-            flags = tops.groupBy("term").agg(cold)
-            by_weight = Window.partitionBy("term").orderBy(F.desc("weight"))
-            tops = tops.withColumn("place", F.row_number().over(by_weight)).filter(F.col("place") <= self.k)
-            last = F.max(F.when(F.col("place") == self.k, F.col("weight")))
-            tops = tops.groupBy("term").agg(
-                F.max("weight").alias("top"), F.coalesce(last, F.lit(0.0)).alias("kth")
-            ).join(flags, "term")
-        return self.vocab.join(tops, "term", "left")
-
-    def core_names(self, hot_names: int) -> DataFrame:
-        """(name_key): names that can be among the k best of a bag with which they share hot words only.
-
-        Names with the same hot words (their signature) then differ only in norm and id, so a name
-        loses to every name of its signature that has no larger norm and a lower id. Those that lose
-        to fewer than k others are found in k passes, in shares of a signature first and then among
-        the survivors, so that no task sorts a signature of very many names.
-        """
-        hot = self.postings().join(self.hot_terms(hot_names), "term", "left_semi")
-        word = F.concat_ws(":", "term", F.round(F.col("weight") * F.col("norm"), 6))
-        names = hot.groupBy("name_key", "first_id", "norm").agg(
-            text_key(F.array_join(F.sort_array(F.collect_list(word)), " ")).alias("signature")
-        )
-        share = F.pmod(F.xxhash64("name_key"), F.lit(64))
-        names = _undominated(names.withColumn("share", share), self.k, "signature", "share")
-        return _undominated(names, self.k, "signature").select("name_key")
-
-
-def _undominated(names: DataFrame, k: int, *within: str) -> DataFrame:
-    """Names that fewer than k others beat in both norm and id, or a few more: the rows that hold a
-    record low id in order of norm, then the records among the rest, and so on, k times."""
-    before = Window.partitionBy(*within).orderBy("norm", "first_id")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    names = names.withColumn("kept", F.lit(False))
-    for _ in range(k):
-        lowest = F.min(F.when(~F.col("kept"), F.col("first_id"))).over(before)
-        names = names.withColumn("lowest", lowest)
-        record = F.col("lowest").isNull() | (F.col("first_id") < F.col("lowest"))
-        names = names.withColumn("kept", F.col("kept") | record)
-    return names.filter("kept").drop("kept", "lowest")
-
 
 def fit_catalog(
     posts: DataFrame,
@@ -160,11 +102,14 @@ def fit_catalog(
     bounded = max_features is not None and max_features <= BROADCAST_TERMS
 
     weights = tfidf_weights(names, vocab, bounded)
-    vectors = weights.groupBy("text_key", "norm").agg(  # at most one entry per word of a name
-        F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("vector")
+    firsts = names.select("text_key", "first_id")
+    postings = weights.join(firsts, "text_key").select(
+        "term", F.col("text_key").alias("name_key"), "first_id", "weight"
     )
-    vectors = names.select("text_key", "first_id").join(vectors, "text_key")
-    vectors = runtime.materialise(vectors.withColumnRenamed("text_key", "name_key"), "names")
+    postings = runtime.materialise(postings, "postings")
+    named = postings.select("term", F.lit(True).alias("named")).distinct()
+    vocab = vocab.join(named, "term", "left").withColumn("named", F.coalesce("named", F.lit(False)))
+    vocab = runtime.materialise(vocab, "vocab")
     if k == 1:
         ids = names.select(
             F.col("text_key").alias("name_key"),
@@ -180,48 +125,22 @@ def fit_catalog(
         )
         ids = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
         ids = ids.select(text_key("product_name").alias("name_key"), "product_id", "product_name")
-    return Catalog(vectors, ids, vocab, k, bounded), texts
+    ids = runtime.materialise(ids, "ids")
+    return Catalog(postings, ids, vocab, postings.count(), k, bounded), texts
 
 
-def shared_words(texts: DataFrame, catalog: Catalog, hot_names: int = HOT_NAMES) -> DataFrame:
-    """(text_key, copies, norm, shared): the words a text shares with the catalog.
-
-    `bound` is the most that a word can add to the dot product with any name; `sure` is what k
-    names get from this word alone. Words of many names come first, the weakest of them foremost.
-    """
+def shared_words(texts: DataFrame, catalog: Catalog) -> DataFrame:
+    """(text_key, copies, norm, shared): the words a text shares with the catalog."""
     raw = F.col("tf") * F.col("idf")
-    word = F.struct(
-        "cold", (raw * F.col("top")).alias("bound"), "term", raw.alias("raw"),
-        (raw * F.col("kth")).alias("sure"),
-    )
-    words = with_idf(text_words(texts), catalog.terms(hot_names), catalog.bounded)
+    words = with_idf(text_words(texts), catalog.vocab, catalog.bounded)
     # the rows of a text lie together, so partial aggregation leaves one row per text to shuffle
+    word = F.when(F.col("named"), F.struct("term", raw.alias("raw")))
     words = words.groupBy("text_key", "copies").agg(
-        F.sqrt(F.sum(raw * raw)).alias("norm"),
-        F.sort_array(F.collect_list(F.when(F.col("top").isNotNull(), word))).alias("shared"),
+        F.sqrt(F.sum(raw * raw)).alias("norm"), F.sort_array(F.collect_list(word)).alias("shared")
     )
     return words.filter(F.size("shared") > 0)
 
 
-def _driving_words(bags: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per driving word of a bag, with all hot words of the bag.
-
-    The weakest hot words do not drive as long as they stay below `floor` together: a name that
-    shares only such words cannot reach the floor.
-    """
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
-    grow = lambda acc, w: F.when(
-        ~w["cold"] & (acc["sum"] + w["bound"] < F.col("floor") - SLACK),
-        F.struct((acc["sum"] + w["bound"]).alias("sum"), (acc["n"] + 1).alias("n")),
-    ).otherwise(F.struct(F.lit(float("inf")).alias("sum"), acc["n"].alias("n")))
-    bags = bags.withColumn("n_weak", F.aggregate("shared", start, grow)["n"])
-    return bags.select(
-        *cols,
-        F.filter("shared", lambda w: ~w["cold"]).alias("hot"),
-        F.explode(F.slice("shared", F.col("n_weak") + 1, F.size("shared"))).alias("w"),
-    ).select(*cols, "hot", "w.term", "w.raw", "w.cold")
-
-
 def _by_bag(bags: DataFrame) -> DataFrame:
     """Shuffle the bags, one row each, so that their many pairs with names never have to be: with
     broadcast postings, all later groupings by bag stay within a partition. The number of partitions
@@ -260,61 +179,23 @@ def overlap_scores(
     bags: DataFrame,
     catalog: Catalog,
     keep: tuple[str, ...] = (),
-    core_only: bool = False,
-    hot_names: int = HOT_NAMES,
     broadcast_cells: int = runtime.BROADCAST_CELLS,
     pairs_per_task: int = runtime.PAIRS_PER_TASK,
 ) -> DataFrame:
-    """(bag_key, *keep, name_key, first_id, total) for every name that may reach the bag's `floor`.
-
-    `bags` has bag_key, shared and floor. Cold words meet all of their names, at most `hot_names`
-    each. Hot words meet their names only if they drive the bag, and with `core_only` only the core
-    names. What the hot words add to a name is looked up in its vector, so the total is complete
-    whichever word found the name.
-    """
+    """(bag_key, *keep, name_key, first_id, total) for every name that shares a word with the bag."""
     cols = ["bag_key", *keep]
-    size = F.size("vector").cast("long")
-    n_names, flat, square = catalog.names.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.sum(size * size), F.lit(0))
-    ).first()
-    product = F.col("raw") * F.col("weight")
-    if n_names <= hot_names:  # no word can be hot
-        small = flat <= broadcast_cells
-        bags = _by_bag(bags) if small else bags
-        words = bags.select(*cols, F.explode("shared").alias("w")).select(*cols, "w.term", "w.raw")
-        postings = catalog.postings().select("name_key", "first_id", "term", "weight")
-        met = _meet(words, postings, small, pairs_per_task, catalog.bounded)
-        return met.groupBy(*cols, "name_key", "first_id").agg(F.sum(product).alias("total"))
-
-    postings = catalog.postings().drop("norm")
-    if core_only:
-        hot = catalog.hot_terms(hot_names)
-        core = postings.join(hot, "term", "left_semi").join(catalog.core_names(hot_names), "name_key", "left_semi")
-        postings = postings.join(hot, "term", "left_anti").unionByName(core)
-        postings = runtime.materialise(postings, "postings")
-        square = postings.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    small = square <= broadcast_cells
+    small = catalog.cells <= broadcast_cells
     bags = _by_bag(bags) if small else bags
-    met = _meet(_driving_words(bags, cols), postings, small, pairs_per_task, catalog.bounded)
-    weight = lambda w: F.coalesce(F.element_at("vector", w["term"]), F.lit(0.0))
-    from_hot = F.aggregate("hot", F.lit(0.0), lambda acc, w: acc + w["raw"] * weight(w))
-    met = met.select(
-        *cols, "name_key", "first_id",
-        F.when(F.col("cold"), product).otherwise(0.0).alias("from_cold"),
-        from_hot.alias("from_hot"),
-    )
-    return met.groupBy(*cols, "name_key", "first_id").agg(
-        (F.sum("from_cold") + F.max("from_hot")).alias("total")
-    )
+    words = bags.select(*cols, F.explode("shared").alias("w")).select(*cols, "w.term", "w.raw")
+    met = _meet(words, catalog.postings, small, pairs_per_task, catalog.bounded)
+    total = F.sum(F.col("raw") * F.col("weight")).alias("total")
+    return met.groupBy(*cols, "name_key", "first_id").agg(total)
 
 
 def best_names(bags: DataFrame, catalog: Catalog, keep: tuple[str, ...] = (), **limits) -> DataFrame:
     """The k best names of each bag: bag_key, *keep, name_key, rank_by (rounded total; ties go to the
     lowest product id), total."""
-    sure = F.array_max(F.transform("shared", lambda w: w["sure"]))
-    bags = bags.withColumn("floor", sure)
-    scores = overlap_scores(bags, catalog, (*keep, "floor"), core_only=True, **limits)
-    scores = scores.filter(F.col("total") >= F.col("floor") - SLACK)  # k names reach the floor
+    scores = overlap_scores(bags, catalog, keep, **limits)
     scores = scores.withColumn("rank_by", F.round("total", 6)).filter("rank_by > 0")
     cols = ["bag_key", *keep, "name_key", "rank_by", "total"]
     if catalog.k == 1:  # an aggregate leaves one row per bag before the shuffle already
@@ -330,16 +211,16 @@ def map_texts(
     texts: DataFrame,
     catalog: Catalog,
     hot_rows: int = runtime.HOT_ROWS,
-    hot_names: int = HOT_NAMES,
     **limits,
 ) -> DataFrame:
     """(text_key, copies, matches): the k best products of each distinct text, best first."""
     bag = F.transform("shared", lambda w: F.concat_ws(":", w["term"], w["raw"]))
-    words = shared_words(texts, catalog, hot_names).withColumn("bag_key", text_key(F.array_join(bag, " ")))
+    words = shared_words(texts, catalog).withColumn("bag_key", text_key(F.array_join(bag, " ")))
     words = runtime.materialise(words, "words")
     bags = words.groupBy("bag_key", "shared").agg(F.count(F.lit(1)).alias("texts"))
 
-    best = best_names(bags, catalog, ("texts",), hot_names=hot_names, **limits).join(catalog.ids, "name_key")
+    best = best_names(bags, catalog, ("texts",), **limits)
+    best = runtime.materialise(best, "ranked").join(catalog.ids, "name_key")
     match = F.struct((-F.col("rank_by")).alias("minus"), "product_id", "product_name", "total")
     best = best.groupBy("bag_key", "texts").agg(  # at most k * k entries
         F.slice(F.sort_array(F.collect_list(match)), 1, catalog.k).alias("matches")
@@ -401,16 +282,13 @@ def map_mentions(
     return attach_matches(posts, mapped, post_text, min_score, hot_rows)
 
 
-def similar_pairs(
-    texts: DataFrame, catalog: Catalog, min_score: float, hot_names: int = HOT_NAMES, **limits
-) -> DataFrame:
+def similar_pairs(texts: DataFrame, catalog: Catalog, min_score: float, **limits) -> DataFrame:
     """(text_key, name_key, similarity_score) of every distinct text and name that score at least
-    `min_score`, which must be above 0. Pairs that share only weak words are never formed."""
+    `min_score`, which must be above 0."""
     if min_score <= 0:
         raise ValueError("min_score must be above 0")
-    bags = shared_words(texts, catalog, hot_names).withColumnRenamed("text_key", "bag_key")
-    bags = bags.withColumn("floor", F.col("norm") * min_score - SLACK)
-    scores = overlap_scores(bags, catalog, ("norm",), hot_names=hot_names, **limits)
+    bags = shared_words(texts, catalog).withColumnRenamed("text_key", "bag_key")
+    scores = overlap_scores(bags, catalog, ("norm",), **limits)
     scores = scores.select(
         F.col("bag_key").alias("text_key"),
         "name_key",

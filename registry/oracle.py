@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from feedlark.functions.stopwords import PROFILES
 from feedlark.schemas import LABELS
 from registry.bindings import MIN_SCORE, PLATFORMS, TOP_K, VOCABULARY
+from registry.wordlists import PROFILES
 
 
 def words(*profiles: str) -> str:
