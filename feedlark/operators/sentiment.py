@@ -126,6 +126,8 @@ def train_bayes(df: DataFrame, text: str, label: str, labels: tuple[str, ...] =
     )
     ln = lambda c: F.ln(F.lit(c).cast("double"))
     n_docs = sum(docs)
+    if not n_docs:
+        raise ValueError("no row has a label to train from")
     logs = totals.select(
         *[F.ln(F.col(x) + F.col("_terms")).alias(f"t_{x}") for x in labels],
         *[(ln(docs[x]) - ln(n_docs)).alias(f"p_{x}") for x in labels],

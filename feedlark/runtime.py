@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ HOT_LOOKUP_ROWS = 500_000  # the most lookup rows of hot keys that are sent to e
 BROADCAST_CELLS = 5_000_000  # the most vector entries that are sent to every executor
 PAIRS_PER_TASK = 50_000_000  # join output that one task may produce for one key
 
+_scopes: list[str] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that `spark.checkpoint.dir` names."""
@@ -36,7 +40,20 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return "/".join([scratch_folder(spark), *_scopes[-1:], f"{label}-{uuid.uuid4().hex}"])
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside is deleted at the end: for work that repeats without end, as in a stream."""
+    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    folder = f"{scratch_folder(spark)}/{_scopes[-1]}"
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -51,13 +68,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread rows over all cores when they come from fewer files than there are cores.
+    """Spread rows over all cores when they are read by fewer than half as many tasks.
 
-    A parquet file with one row group is read by one task; large inputs have more files than cores
-    and are left as they are.
+    A small parquet file is read by one task; large inputs are split by size and left as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *keys) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
 def hot_key_join(

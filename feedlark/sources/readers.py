@@ -19,43 +19,69 @@ class SourceError(ValueError):
     """A source does not have the layout it should have."""
 
 
-def read_text_items(
-    spark: SparkSession, path: str, multi_line: bool = True, strict: bool = True
-) -> DataFrame:
+def read_objects(spark: SparkSession, path: str, key: str, kind: str) -> DataFrame:
+    """Objects `{key: …}` of all JSON files of a folder: the key's value, file, block and line, which
+    order the objects.
+
+    A file holds one object per line, which lets Spark split it, or one object or array of objects over
+    several lines. Which of them it is, is found file by file; a damaged file raises when it is read.
+    """
+    reader = spark.read.option("pathGlobFilter", "*.json")
+    order = [
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    ]
+    schema = f"{key} {kind}, _broken string"
+    lines = reader.schema(schema).option("columnNameOfCorruptRecord", "_broken").json(path)
+    lines = lines.select(key, "_broken", *order)
+    first = F.min_by("_broken", F.when(F.col("_broken").isNotNull(), F.struct("block", "line")))
+    seen = lines.groupBy("file").agg(first.alias("broken"), F.count_if(F.col(key).isNotNull()).alias("whole"))
+    odd = seen.filter("broken is not null").collect()  # a row per file, of those that are not line by line
+    if damaged := [r["file"] for r in odd if r["whole"] and not r["broken"].lstrip().startswith("[")]:
+        raise SourceError(f"objects and damaged lines in {damaged[:5]}")
+    found = lines.drop("_broken")
+    if odd:
+        files = [r["file"] for r in odd]
+        several = spark.read.option("multiLine", True).option("mode", "FAILFAST").schema(f"{key} {kind}")
+        found = found.filter(~F.col("file").isin(files)).unionByName(several.json(files).select(key, *order))
+    return found
+
+
+def read_text_items(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Posts kept as `{"TextItem": {id: [comment, …]}}`: one row (id, texts) per id and object.
 
     The ids are map keys and not columns, so their number, their case and repeated ids do not
-    matter. A value may be a list or a plain string. Files hold one object or array of objects;
-    with `multi_line=False`, one object per line, which lets Spark split large files.
-    Files without a `TextItem` raise, or are returned as they are with `strict=False`.
+    matter. A value may be a list or a single value, which becomes a string. A folder without any
+    `TextItem` raises, or is returned as it is with `strict=False`.
     """
-    reader = spark.read.option("multiLine", multi_line).option("pathGlobFilter", "*.json")
-    raw = reader.schema("TextItem map<string, variant>").json(path)
+    raw = read_objects(spark, path, "TextItem", "map<string, variant>")
     items = raw.filter(F.col("TextItem").isNotNull())
     if items.isEmpty() and not raw.isEmpty():
         if strict:
             raise SourceError(f"no TextItem object in the JSON files of {path}")
-        plain_reader = spark.read.option("multiLine", multi_line).option("pathGlobFilter", "*.json")
-        return plain_reader.json(path)
+        return spark.read.option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
     many = F.try_variant_get("value", "$", "array<string>")
     one = F.array_compact(F.array(F.try_variant_get("value", "$", "string")))
-    plain = F.schema_of_variant("value") == "STRING"
+    listed = F.startswith(F.schema_of_variant("value"), F.lit("ARRAY"))
     return items.select(F.explode("TextItem").alias("id", "value")).select(
-        "id", F.when(plain, one).otherwise(many).alias("texts")
+        "id", F.when(listed, many).otherwise(one).alias("texts")
     )
 
 
-def read_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Products kept as `{"Product": {id: [name, category, price]}}`, of all files of a folder.
 
-    Strings are normalised; of several products with one id, the first by file name and place stays.
+    Strings are normalised; of several products with one id, the first by file name, object and place
+    stays. An object without `Product` raises.
     """
-    reader = spark.read.option("multiLine", multi_line).option("pathGlobFilter", "*.json")
-    raw = reader.schema("Product map<string, array<string>>").json(path)
-    rows = raw.select(
-        F.col("_metadata.file_path").alias("file"), F.posexplode("Product").alias("pos", "product_id", "v")
-    ).select(
+    raw = read_objects(spark, path, "Product", "map<string, array<string>>")
+    if not raw.filter(F.col("Product").isNull()).isEmpty():
+        raise SourceError(f"an object without Product in the JSON files of {path}")
+    rows = raw.select("file", "block", "line", F.posexplode("Product").alias("pos", "product_id", "v")).select(
         "file",
+        "block",
+        "line",
         "pos",
         "product_id",
         F.get("v", F.lit(0)).alias("product_name"),
@@ -63,7 +89,8 @@ def read_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
         F.get("v", F.lit(2)).try_cast("double").alias("price"),
     )
     rows = normalise_strings(rows, skip=("file",))
-    return keep_first(rows, ["product_id"], ["file", "pos"]).select(*schemas.names(schemas.PRODUCTS))
+    order = ["file", "block", "line", "pos"]
+    return keep_first(rows, ["product_id"], order).select(*schemas.names(schemas.PRODUCTS))
 
 
 def _missing(c: str) -> Column:

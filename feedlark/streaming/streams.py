@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import NAMESPACE_URL, uuid5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,15 +43,22 @@ def stream_mention_map(
 ) -> None:
     """Map new posts against a fixed catalog, whose vocabulary and idf come from its last fit.
 
-    A batch replaces its own folder, so a batch that is run again leaves its rows once.
+    A batch replaces its own folder, named after the stream (by the id that its checkpoint keeps) and
+    the batch, so a batch that is run again leaves its rows once, and streams do not touch each
+    other's rows. What a batch stores on the way is deleted after it.
     """
 
+    spark = posts.sparkSession
+
     def map_batch(batch: DataFrame, batch_id: int) -> None:
-        stored = runtime.materialise(batch, "batch")
-        mapped = map_texts(distinct_texts(stored, text), catalog)
-        rows = attach_matches(stored, mapped, text).withColumn("batch", F.lit(batch_id))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("batch").parquet(out)
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or uuid5(NAMESPACE_URL, checkpoint).hex
+        with runtime.scratch_scope(spark):
+            stored = runtime.materialise(batch, "batch")
+            mapped = map_texts(distinct_texts(stored, text), catalog)
+            rows = attach_matches(stored, mapped, text)
+            rows = rows.withColumns({"stream": F.lit(stream), "batch": F.lit(batch_id)})
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("stream", "batch").parquet(out)
 
     query = (
         posts.writeStream.foreachBatch(map_batch)

@@ -23,7 +23,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # for the scorer be
 PLATFORMS = ("store_a", "store_b")
 TOP_K = 3
 MIN_SCORE = 0.1
-VOCABULARY = 1_000
+VOCABULARY = 10_000
+FOLDS = 5  # labelled rows whose id leaves the remainder 0 are held out
+
+_tables: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str, key: str | None = None) -> DataFrame:
@@ -63,27 +66,48 @@ def labelled(spark, sf):
 
 
 def model(spark, sf):
-    return sentiment.train_bayes(labelled(spark, sf), "clean", "human")
+    return sentiment.train_bayes(stored_labelled(spark, sf), "clean", "human")
+
 
+def platform_of() -> Column:
+    """Documents of even sources are reviews in one store, the others in the other."""
+    return F.when(F.substring("source", 4, 9).cast("int") % 2 == 0, PLATFORMS[0]).otherwise(PLATFORMS[1])
 
-def review_source(spark, sf, platform: int):
-    """Documents of every second source as reviews of one platform, 5 columns."""
-    docs = documents(spark, sf).withColumn("p_partkey", F.col("doc_id") % 64)
-    docs = docs.filter(F.substring("source", 4, 9).cast("int") % 2 == platform)
-    parts = table(spark, sf, "part").select("p_partkey", "p_name")
-    labels = table(spark, sf, "labels")
-    rows = docs.join(parts, "p_partkey").join(labels, "doc_id", "left")
+
+def review_rows(spark, sf):
+    """All documents as reviews of the items, 5 columns and the platform."""
+    items = products(spark, sf)
+    docs = documents(spark, sf).withColumn("product_id", F.col("doc_id") % max(1, items.count()))
+    rows = docs.join(items, "product_id").join(table(spark, sf, "labels"), "doc_id", "left")
     return rows.select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("product_name"),
+        F.col("product_id").cast("string").alias("product_id"),
+        "product_name",
         (F.col("n_chars") % 5 + 1).cast("double").alias("rating"),
         F.col("text").alias("review_text"),
         F.when(F.col("quality").isNotNull(), human_label()).alias("sentiment"),
+        platform_of().alias("platform"),
     )
 
 
 def reviews(spark, sf):
-    return tables.merge_reviews({p: review_source(spark, sf, i) for i, p in enumerate(PLATFORMS)})
+    """One source for each platform, merged."""
+    rows = runtime.materialise(review_rows(spark, sf), "reviews")
+    return tables.merge_reviews({p: rows.filter(F.col("platform") == p).drop("platform") for p in PLATFORMS})
+
+
+def once(name):
+    """A result table is stored once for a session and folder; reports read it."""
+
+    def decorate(build):
+        def read(spark, sf):
+            key = (spark.sparkContext.applicationId, name, sf)
+            if key not in _tables:
+                _tables[key] = runtime.materialise(build(spark, sf), name)
+            return _tables[key]
+
+        return read
+
+    return decorate
 
 
 def chunks(spark, sf, text: Column | None = None):
@@ -97,7 +121,7 @@ def chunks(spark, sf, text: Column | None = None):
 def scan_social_json(spark, sf):
     path = runtime.scratch_path(spark, "social-json")
     sinks.write_text_items(comments(spark, sf), path)
-    return tables.social_posts(readers.read_text_items(spark, path, multi_line=False))
+    return tables.social_posts(readers.read_text_items(spark, path))
 
 
 def scan_catalog_json(spark, sf):
@@ -109,7 +133,7 @@ def scan_catalog_json(spark, sf):
         F.col("p_retailprice").alias("price"),
     )
     sinks.write_catalog(parts, path)
-    return readers.read_catalog(spark, path, multi_line=False)
+    return readers.read_catalog(spark, path)
 
 
 def scan_reviews_csv(spark, sf):
@@ -345,6 +369,21 @@ def mention_scores(spark, sf):
     return found.join(names, "name_key").select("doc_id", "product_id", "similarity_score")
 
 
+def mention_catalog(spark, sf):
+    """Conversation turns against all documents as names: a catalog that grows with the data."""
+    turns = table(spark, sf, "conversations").select((F.col("conv_id") * 1_000_000 + F.col("turn")).alias("turn_id"), "text")
+    clean = tables.valid_posts(pipelines.cleaned_posts(turns).select("turn_id", "clean_text"))
+    names = posts(spark, sf).select(F.col("doc_id").alias("product_id"), F.col("text").alias("product_name"))
+    names = runtime.materialise(tables.valid_products(pipelines.cleaned_products(names)), "catalog")
+    return mention.map_mentions(clean, names).select("turn_id", "product_id", "similarity_score")
+
+
+def row_numbers(spark, sf):
+    """All documents numbered by language and id; the source id stays beside the number."""
+    rows = table(spark, sf, "documents").select("lang", "doc_id")
+    return tables.number_rows(rows, "lang", "doc_id").withColumn("review_id", F.col("review_id").cast("long"))
+
+
 def both_sides(spark, sf):
     clean, items = mapping_inputs(spark, sf)
     return clean, items, distinct_texts(clean, "clean_text"), distinct_texts(items, "clean_name")
@@ -369,9 +408,10 @@ def tfidf_weights(spark, sf):
         ("post", clean, texts, "doc_id", "clean_text"),
         ("product", items, names, "product_id", "clean_name"),
     ):
-        weights = mention.tfidf_weights(distinct, vocab)
+        weights = mention.tfidf_weights(distinct, vocab).join(distinct.select("text_key", "copies"), "text_key")
+        weights = runtime.materialise(weights, "weights")
         keyed = rows.select(F.lit(side).alias("side"), F.col(key).alias("id"), T.text_key(text).alias("text_key"))
-        out.append(keyed.join(weights, "text_key").select("side", "id", "term", F.round("weight", 6).alias("weight")))
+        out.append(runtime.hot_key_join(keyed, weights, "text_key", "copies", how="inner").select("side", "id", "term", F.round("weight", 6).alias("weight")))
     return out[0].unionByName(out[1])
 
 
@@ -400,7 +440,7 @@ def fake_scorer(labels=schemas.LABELS):
 
 def score_udf(spark, sf):
     rows = documents(spark, sf).select("doc_id", "text")
-    return sentiment.score_texts(rows, "text", fake_scorer, concurrency=8).select("doc_id", "sentiment", "error")
+    return sentiment.score_texts(rows, "text", fake_scorer, concurrency=spark.sparkContext.defaultParallelism).select("doc_id", "sentiment", "error")
 
 
 def score_errors(spark, sf):
@@ -433,24 +473,32 @@ def nb_score(spark, sf):
     return scored_documents(spark, sf, model(spark, sf), keep_scores=True).drop("clean")
 
 
+@once("labelled")
+def stored_labelled(spark, sf):
+    return labelled(spark, sf)
+
+
 def label_confusion(spark, sf):
-    rows = labelled(spark, sf)
-    rows = runtime.materialise(rows, "labelled")
-    bayes = sentiment.train_bayes(rows, "clean", "human")
-    return sentiment.confusion(sentiment.bayes_label(rows, "clean", bayes), "human", "sentiment")
+    """Rows that the model was not trained on."""
+    rows = stored_labelled(spark, sf)
+    held_out = F.col("doc_id") % FOLDS == 0
+    bayes = sentiment.train_bayes(rows.filter(~held_out), "clean", "human")
+    return sentiment.confusion(sentiment.bayes_label(rows.filter(held_out), "clean", bayes), "human", "sentiment")
 
 
 def label_quality(spark, sf):
     return sentiment.label_quality(runtime.materialise(label_confusion(spark, sf), "confusion"))
 
 
+@once("ecommerce")
 def ecommerce(spark, sf):
     bayes = model(spark, sf)
     return pipelines.review_flow(
-        reviews(spark, sf), lambda df, text: sentiment.bayes_label(df, text, bayes, label="sentiment_api")
+        review_rows(spark, sf), lambda df, text: sentiment.bayes_label(df, text, bayes, label="sentiment_api")
     )
 
 
+@once("social")
 def social(spark, sf):
     bayes = model(spark, sf)
     return pipelines.social_flow(
@@ -516,7 +564,7 @@ QUERIES = [
     period_partitioned, unpivot_posts, array_text_normalise, drop_blank_text, valid_products, valid_posts,
     clean_reviews, keyword_search, strip_html, strip_urls, normalise_names, tokenise, filter_tokens,
     clean_product, clean_social, word_tokens, clean_mapping, dedup_products, sample_n, mention_map,
-    mention_topk, mention_scores, stage_counts, quality_counts, term_stats, tfidf_vocab, tfidf_weights,
+    mention_topk, mention_scores, mention_catalog, row_numbers, stage_counts, quality_counts, term_stats, tfidf_vocab, tfidf_weights,
     score_udf, score_errors, nb_train, nb_score, label_confusion, label_quality, sentiment_by_product,
     sentiment_by_platform, sentiment_over_time, product_overview, top_products, stream_clean,
     stream_mention_map,

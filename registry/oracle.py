@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from feedlark.schemas import LABELS
-from registry.bindings import MIN_SCORE, PLATFORMS, TOP_K, VOCABULARY
+from registry.bindings import FOLDS, MIN_SCORE, PLATFORMS, TOP_K, VOCABULARY
 from registry.wordlists import PROFILES
 
 
@@ -47,11 +47,14 @@ def mapped(c: str, *profiles: str) -> str:
 HUMAN = "CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' ELSE 'neutral' END"
 
 # Posts and products of the vocabulary, and the weights of both sides.
-FIT = f"""
-posts AS MATERIALIZED (
-  SELECT * FROM (SELECT doc_id AS id, {clean('text', 'social')} AS txt FROM documents) WHERE txt <> ''),
-items AS MATERIALIZED (
-  SELECT * FROM (SELECT item_id AS id, {clean('text', 'product')} AS txt FROM benchmark) WHERE txt <> ''),
+DOCUMENT_POSTS = f"SELECT doc_id AS id, {clean('text', 'social')} AS txt FROM documents"
+ITEMS = f"SELECT item_id AS id, {clean('text', 'product')} AS txt FROM benchmark"
+
+
+def fit(posts: str = DOCUMENT_POSTS, items: str = ITEMS) -> str:
+    return f"""
+posts AS MATERIALIZED (SELECT * FROM ({posts}) WHERE txt <> ''),
+items AS MATERIALIZED (SELECT * FROM ({items}) WHERE txt <> ''),
 sides AS (SELECT 'post' AS side, id, txt FROM posts UNION ALL SELECT 'product', id, txt FROM items),
 n AS (SELECT count(*) AS n_docs FROM sides WHERE len({mapped('txt', 'mapping')}) > 0),
 tf AS MATERIALIZED (
@@ -61,6 +64,9 @@ tf AS MATERIALIZED (
 stats AS (SELECT term, count(*)::BIGINT AS df, sum(tf)::BIGINT AS ctf FROM tf GROUP BY term)"""
 
 
+FIT = fit()
+
+
 def vocab(limit: int = 10_000) -> str:
     return f"""
 vocab AS MATERIALIZED (
@@ -86,18 +92,24 @@ ranked AS (
 MENTION = f"WITH {FIT}, {vocab()}, {WEIGHTS}, {DOTS}"
 
 
-def mention(k: int) -> str:
-    return f"""{MENTION}
+def mention(k: int, fitted: str = FIT) -> str:
+    return f"""WITH {fitted}, {vocab()}, {WEIGHTS}, {DOTS}
 SELECT posts.id AS doc_id, posts.txt, coalesce(place, 1)::INTEGER AS place, product_id,
        items.txt AS product_name, coalesce(round(dot / norm, 6), 0.0) AS similarity_score
 FROM posts LEFT JOIN (SELECT * FROM ranked WHERE place <= {k}) r ON r.doc_id = posts.id
 LEFT JOIN items ON items.id = r.product_id"""
 
 
-# Naive Bayes trained on the labelled documents.
-TRAIN = f"""
-gold AS MATERIALIZED (
+TURNS = f"SELECT conv_id * 1000000 + turn AS id, {clean('text', 'social')} AS txt FROM conversations"
+DOCUMENT_NAMES = f"SELECT doc_id AS id, {clean('text', 'product')} AS txt FROM documents"
+
+
+def train(rows: str = "true") -> str:
+    """Naive Bayes trained on the labelled documents that fulfil `rows`."""
+    return f"""
+gold_all AS MATERIALIZED (
   SELECT doc_id, {HUMAN} AS human, {clean('text', 'review')} AS clean FROM documents JOIN labels USING (doc_id)),
+gold AS (SELECT * FROM gold_all WHERE {rows}),
 gold_terms AS MATERIALIZED (
   SELECT term, {', '.join(f"count(*) FILTER (human = '{x}') AS {x}" for x in LABELS)}
   FROM (SELECT human, unnest(list_filter(string_split(clean, ' '), lambda x: length(x) >= 3)) AS term FROM gold)
@@ -108,6 +120,9 @@ priors AS (
   FROM gold)"""
 
 
+TRAIN = train()
+
+
 def bayes(source: str, key: str, text: str) -> str:
     """CTEs that end in `scored`: key, sentiment and the scores of the rows of `source`."""
     sums = ", ".join(f"sum(tf * ln({x} + 1.0)) AS {x}" for x in LABELS)
@@ -127,12 +142,13 @@ scored AS (SELECT {key}, {label} AS sentiment, {', '.join(LABELS)} FROM scores)"
 
 
 REVIEWS = f"""
-SELECT CAST(doc_id % 64 AS VARCHAR) AS product_id, p_name AS product_name,
-       CAST(n_chars % 5 + 1 AS DOUBLE) AS rating, text AS review_text,
+SELECT CAST(item_id AS VARCHAR) AS product_id, b.text AS product_name,
+       CAST(n_chars % 5 + 1 AS DOUBLE) AS rating, d.text AS review_text,
        CASE WHEN quality IS NOT NULL THEN {HUMAN} END AS sentiment,
        CASE WHEN CAST(substr(source, 4) AS INTEGER) % 2 = 0 THEN '{PLATFORMS[0]}' ELSE '{PLATFORMS[1]}' END AS platform,
        doc_id
-FROM documents JOIN part ON p_partkey = doc_id % 64 LEFT JOIN labels USING (doc_id)"""
+FROM documents d JOIN benchmark b ON item_id = doc_id % (SELECT count(*) FROM benchmark)
+LEFT JOIN labels USING (doc_id)"""
 
 ECOMMERCE = f"""
 reviews AS MATERIALIZED (
@@ -183,9 +199,10 @@ new_best AS (
 FAKE_LABEL = f"""CASE length(text) % 3 WHEN 0 THEN '{LABELS[0]}' WHEN 1 THEN '{LABELS[1]}' ELSE '{LABELS[2]}' END"""
 
 CONFUSION = f"""
-WITH {TRAIN}, {bayes('gold', 'doc_id', 'clean')}
+WITH {train(f'doc_id % {FOLDS} <> 0')},
+held_out AS (SELECT * FROM gold_all WHERE doc_id % {FOLDS} = 0), {bayes('held_out', 'doc_id', 'clean')}
 SELECT human AS human_label, sentiment AS model_label, count(*) AS row_count
-FROM gold JOIN scored USING (doc_id) GROUP BY ALL"""
+FROM held_out JOIN scored USING (doc_id) GROUP BY ALL"""
 
 SQL = {
     "scan_social_json": "SELECT CAST(conv_id AS VARCHAR) AS id, string_agg(text, ' ' ORDER BY turn) AS text "
@@ -263,6 +280,10 @@ FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\pL\pM\p{Nd}\p{Pc}]+') AS
     "mention_topk": f"SELECT doc_id, place, product_id, similarity_score FROM ({mention(TOP_K)})",
     "mention_scores": f"SELECT * FROM ({MENTION} SELECT doc_id, product_id, round(dot / norm, 6) AS similarity_score "
     f"FROM dots) WHERE similarity_score >= {MIN_SCORE}",
+    "mention_catalog": "SELECT doc_id AS turn_id, product_id, similarity_score FROM ("
+    + mention(1, fit(TURNS, DOCUMENT_NAMES))
+    + ")",
+    "row_numbers": "SELECT row_number() OVER (ORDER BY lang, doc_id) AS review_id, lang, doc_id FROM documents",
     "stage_counts": f"""
 SELECT unnest(['read', 'not_blank', 'cleaned', 'with_words']) AS stage,
        unnest([count(*), count(*) FILTER (trim(text) <> ''), count(*) FILTER (c <> ''),

@@ -18,6 +18,54 @@ def posts(spark, path, **options):
     return tables.social_posts(readers.read_text_items(spark, path, **options))
 
 
+def put_all(folder, **files):
+    folder.mkdir(exist_ok=True)
+    for name, content in files.items():
+        (folder / f"{name}.json").write_text(content)
+    return str(folder)
+
+
+def test_both_layouts_in_one_folder(spark, rows, tmp_path):
+    path = put_all(tmp_path / "x", a='{"TextItem": {"r1": ["a"]}}\n{"TextItem": {"r2": ["b"]}}\n', b='[\n{"TextItem":\n {"r3": ["c"]}},\n{"TextItem": {"r4": ["d"]}}\n]')
+    assert rows(posts(spark, path)) == [("r1", "a"), ("r2", "b"), ("r3", "c"), ("r4", "d")]
+
+
+def test_single_values_become_text(spark, rows, tmp_path):
+    path = put_all(tmp_path / "x", a='{"TextItem": {"r1": 12, "r2": 1.5, "r3": true, "r4": "s", "r5": [1, "x"], "r6": null}}')
+    assert rows(posts(spark, path)) == [("r1", "12"), ("r2", "1.5"), ("r3", "true"), ("r4", "s"), ("r5", "1 x")]
+
+
+@pytest.mark.parametrize("bad", ['{"TextItem": {"r1": ["a"]', '{"TextItem": {"r1": ["a"]}}\n{"TextItem": {"r2": ["b"'])
+def test_damaged_posts_raise(spark, tmp_path, bad):
+    path = put_all(tmp_path / "x", good='{"TextItem": {"r0": ["a"]}}', bad=bad)
+    with pytest.raises(Exception, match="(?i)malformed|damaged"):
+        posts(spark, path).collect()
+
+
+def test_first_product_by_place(spark, tmp_path):
+    one = '{"Product": {"p1": ["%s", "c", 1]}}'
+    path = put_all(tmp_path / "x", a="\n".join(one % n for n in ("Zed", "Alpha")))
+    assert [r["product_name"] for r in readers.read_catalog(spark, path).collect()] == ["Zed"]
+    path = put_all(tmp_path / "y", a="[\n" + ",\n\n".join(one % n for n in ("Zed", "Alpha")) + "\n]")
+    assert [r["product_name"] for r in readers.read_catalog(spark, path).collect()] == ["Zed"]
+
+
+@pytest.mark.parametrize("bad", ['{"Product": {"p1": ["a", "c"', '{"Other": {"p1": ["a", "c", 1]}}'])
+def test_damaged_catalogs_raise(spark, tmp_path, bad):
+    path = put_all(tmp_path / "x", good='{"Product": {"p0": ["a", "c", 1]}}', bad=bad)
+    with pytest.raises(Exception, match="(?i)malformed|damaged|without Product"):
+        readers.read_catalog(spark, path).collect()
+
+
+def test_writers_and_readers_fit(spark, tmp_path):
+    df = spark.createDataFrame([(str(i), 0, f"t{i}") for i in range(20)], "id string, pos int, text string").coalesce(1)
+    sinks.write_text_items(df, str(tmp_path / "t"))
+    assert posts(spark, str(tmp_path / "t")).count() == 20
+    items = spark.createDataFrame([(str(i), f"n{i}", "c", 1.0) for i in range(20)], "product_id string, product_name string, product_category string, price double").coalesce(1)
+    sinks.write_catalog(items, str(tmp_path / "c"))
+    assert readers.read_catalog(spark, str(tmp_path / "c")).count() == 20
+
+
 def test_posts_of_several_objects(spark, rows, tmp_path):
     items = [{"TextItem": {"r1": ["a", "b"], "r2": [], "r3": None, "R9": ["q"]}}, {"TextItem": {"r1": ["c"]}}]
     assert rows(posts(spark, put(tmp_path / "s", "a.json", items))) == [("R9", "q"), ("r1", "a b"), ("r1", "c")]
@@ -39,7 +87,7 @@ def test_posts_of_several_files_and_lines(spark, rows, tmp_path):
     put(tmp_path / "s", "c.txt", "no JSON")
     assert rows(posts(spark, str(tmp_path / "s"))) == [("r1", "a"), ("r2", "b   ")]
     lines = put(tmp_path / "l", "a.json", '{"TextItem":{"r1":["a"]}}\n{"TextItem":{"r2":["b"]}}\n')
-    assert rows(posts(spark, lines, multi_line=False)) == [("r1", "a"), ("r2", "b")]
+    assert rows(posts(spark, lines)) == [("r1", "a"), ("r2", "b")]
 
 
 def test_files_without_posts(spark, rows, tmp_path):
@@ -119,7 +167,7 @@ def test_comments_round_trip(spark, rows, tmp_path):
     comments = spark.createDataFrame(data, "id string, pos int, text string")
     path = str(tmp_path / "out")
     sinks.write_text_items(comments, path, chunk_rows=3)
-    back = readers.read_text_items(spark, path, multi_line=False)
+    back = readers.read_text_items(spark, path)
     assert sorted(len(r.texts) for r in back.collect()) == [1, 1, 3, 3]
     assert rows(back.select("id", F.explode("texts"))) == sorted(((i, t) for i, _, t in data), key=repr)
 

@@ -1,5 +1,8 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
+from feedlark import runtime
 from feedlark.functions.text import clean_text, split_tokens
 from feedlark.operators import mention
 from feedlark.streaming import streams
@@ -39,3 +42,19 @@ def test_stream_mapping_equals_batch(spark, rows, tmp_path):
     run()
     cols = ("id", "product_id", "similarity_score")
     assert rows(spark.read.parquet(out).select(*cols)) == rows(want.select(*cols))
+
+
+def test_streams_keep_each_other_s_rows(spark, rows, tmp_path):
+    """Two sources with a checkpoint each write into one folder, and leave no scratch behind."""
+    plain = {"tokens": split_tokens, "counted": lambda c: F.col(c) != ""}
+    products = spark.createDataFrame([("p1", "red bolt")], "product_id string, clean_name string")
+    catalog, _ = mention.fit_catalog(spark.createDataFrame([("0", "red")], POSTS), products, post_text="text", **plain)
+    out = str(tmp_path / "out")
+    scratch = Path(runtime.scratch_folder(spark).removeprefix("file:"))
+    before = sorted(scratch.iterdir())
+    for name in "ab":
+        land(spark, str(tmp_path / name), [(name, "red bolt")])
+        source = streams.landed_files(spark, str(tmp_path / name), POSTS)
+        streams.stream_mention_map(source, catalog, out, str(tmp_path / f"state-{name}"), "text")
+    assert rows(spark.read.parquet(out).select("id", "product_id")) == [("a", "p1"), ("b", "p1")]
+    assert sorted(scratch.iterdir()) == before
