@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from registry import bindings  # noqa: E402
 
 HEADLINE = [
-    "mention_map", "mention_topk", "mention_scores", "clean_social", "clean_reviews", "term_stats",
+    "mention_map", "mention_topk", "mention_scores", "mention_catalog", "clean_social", "clean_reviews", "term_stats",
     "tfidf_vocab", "tfidf_weights", "nb_train", "nb_score", "table_sentiment_ecommerce",
     "table_sentiment_social", "product_overview", "scan_social_json", "scan_reviews_csv", "html_blocks",
     "sentiment_over_time", "stream_clean",
