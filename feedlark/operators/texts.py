@@ -60,5 +60,7 @@ def attach(df: DataFrame, text: str, results: DataFrame, hot_rows: int = runtime
     `df` is read up to three times, so it should be a stored table.
     """
     results = runtime.materialise(results, "results")
-    keyed = df.withColumn("text_key", text_key(text))
+    # null texts have no results: a key of their own for each keeps them out of one large partition
+    own = F.concat(F.lit("null-"), F.monotonically_increasing_id().cast("string")).cast("binary")
+    keyed = df.withColumn("text_key", F.coalesce(text_key(text), own))
     return runtime.hot_key_join(keyed, results, "text_key", "copies", hot_rows).drop("text_key")

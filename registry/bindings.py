@@ -176,11 +176,12 @@ def explode_comments(spark, sf):
 
 def html_blocks(spark, sf):
     pages = table(spark, sf, "pages", "page_id")
-    parts = [
-        pages.select("page_id", F.lit(kind).alias("kind"), F.posexplode(blocks).alias("pos", "block"))
-        for kind, blocks in (("ad", H.flat_blocks("html", "div", "ad")), ("p", H.flat_blocks("html", "p")))
-    ]
-    blocks = parts[0].unionByName(parts[1])
+
+    def placed(kind: str, found: Column) -> Column:
+        return F.transform(found, lambda b, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), b.alias("block")))
+
+    ads, paragraphs = H.flat_blocks("html", "div", "ad"), H.flat_blocks("html", "p")
+    blocks = pages.select("page_id", F.inline(F.concat(placed("ad", ads), placed("p", paragraphs))))
     return blocks.withColumn("block", T.strip(T.strip_html("block")))
 
 

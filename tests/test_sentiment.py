@@ -115,3 +115,9 @@ def test_stored_columns(spark):
         "product_id product_name rating review_text sentiment platform clean_product_name clean_text_review sentiment_api"
     ).split()])
     assert "sentiment_humanlabels" in S.ecommerce_table(df).columns
+
+
+def test_training_without_labels_says_so(spark):
+    df = spark.createDataFrame([("a b c", None)], "clean string, human string")
+    with pytest.raises(ValueError, match="label"):
+        sentiment.train_bayes(df, "clean", "human")
