@@ -120,4 +120,4 @@ def test_stored_columns(spark):
 def test_training_without_labels_says_so(spark):
     df = spark.createDataFrame([("a b c", None)], "clean string, human string")
     with pytest.raises(ValueError, match="label"):
-        sentiment.train_bayes(df, "clean", "human")
+        S.train_bayes(df, "clean", "human")
