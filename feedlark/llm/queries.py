@@ -143,7 +143,85 @@ def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op3_toxicity, op4_warc_archives, op5_bpe_round_trip, op6_line_dedup, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
 
+def _secret_sql() -> str:
+    """All matches of every rule by one pass of its expression over whole texts: no index."""
+    parts = []
+    for n, rule in enumerate(secretscan.BASE + secretscan.ADDED):
+        pattern = rule.pattern
+        for word in ("password", "passwd", "secret", "token", "api_?key"):  # either case, letter by letter
+            pattern = pattern.replace(word, "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word))
+        pattern = pattern.replace("(?i:", "(?:").replace("'", "''")
+        parts.append(
+            f"""
+select doc_id, '{rule.kind}' as kind, {n} as rank, k,
+       list_sum(list_transform(g[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0) as a,
+       length(m[k]) as size
+from (select doc_id, m, g, unnest(generate_series(1, len(m))) as k
+      from (select doc_id, regexp_extract_all(t, '{pattern}') as m, string_split_regex(t, '{pattern}') as g from t))
+where length(regexp_extract(m[k], '{pattern}', {rule.part})) >= {rule.least}"""
+        )
+    counts = ", ".join(f"count(*) filter (kind = '{r.kind}') as n_{r.kind}" for r in secretscan.BASE)
+    told = "string_agg(kind || ':' || a::bigint || ':' || (a + size)::bigint, ',' order by a, rank)"
+    return f"""
+with t as (select doc_id, coalesce(text, '') as t from documents),
+found as ({" union all ".join(parts)}),
+told as (
+  select doc_id, {counts}, {told} as spans, {told} filter (rank < {len(secretscan.BASE)}) as base from found group by doc_id)
+select doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) as n_{r.kind}" for r in secretscan.BASE)},
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from t left join told using (doc_id)"""
+
+
 SQL: dict[str, str] = {
+    # a text is in the way if it closes its own turn, or holds what the parser would unescape
+    "op2_chat_format": r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked as (
+  select *, case role when 'system' then '[/SYS]' when 'user' then '[/INST]' when 'assistant' then '</s>' else '[/TURN]' end as closing,
+         case role when 'system' then 5 when 'user' then 6 when 'assistant' then 5 else 7 + length(hex(encode(role))) end as opening
+  from rows
+), conflicts as (
+  select conv_id, bool_or(contains(text, closing)
+                          or regexp_matches(text, '[\[<]\\+(/?(SYS|INST|TURN)\]|OUT\]|TURN:[0-9A-F]*\]|/s>)')) as escaped
+  from marked group by conv_id
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(opening + length(closing) + length(case when escaped then regexp_replace(
+             text, '([\[<])(\\*)(/?(?:SYS|INST|TURN)\]|OUT\]|TURN:[0-9A-F]*\]|/s>)', '\1\\\2\3', 'g') else text end))::bigint
+         as formatted_chars,
+       any_value(escaped) as escaped
+from marked join conflicts using (conv_id) group by conv_id""",
+    "op8_secret_scan": _secret_sql(),
+    # every window of every document against every window of every item
+    "op9_decontaminate": r"""
+with low as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+), d as (select doc_id, regexp_extract_all(t, '[0-9a-z\x{80}-\x{10FFFF}]+') as w from low
+), i as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[0-9a-z\x{80}-\x{10FFFF}]+') as w from benchmark
+), iw as (
+  select distinct item_id, least(13, len(w)) as n, list_slice(w, s, s + least(13, len(w)) - 1) as c
+  from (select item_id, w, unnest(generate_series(1, greatest(1, len(w) - 12))) as s from i where len(w) > 0)
+), dw as (
+  select doc_id, s, n, list_slice(w, s, s + n - 1) as c
+  from (select doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as s from d, (select distinct n from iw) where len(w) >= n)
+), m as (select doc_id, s, n, item_id from dw join iw using (n, c)
+), h as (
+  select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(generate_series(s, s + n - 1)) as p from m) group by doc_id
+), k as (
+  select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as keys
+  from (select distinct doc_id, item_id from m) group by doc_id
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(keys, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join h using (doc_id) left join k using (doc_id)""",
     "op4_warc_archives": """
 with p as (select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as n from pages),
      f as (select html, min(page_id) as first from p where n >= 100 group by html)
