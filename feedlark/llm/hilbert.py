@@ -108,12 +108,14 @@ def hilbert_shards(
     stored = runtime.materialise(ordered.withColumn("place", F.monotonically_increasing_id()), "curve")
     stored = stored.withColumn("part", F.shiftright("place", 33))
     counts = sorted((r["part"], r["count"]) for r in stored.groupBy("part").count().collect())
-    total, starts = 0, {}
+    total, starts = 0, []
     for part, rows in counts:
-        starts[part], total = total, total + rows
+        starts.append((part, total))
+        total += rows
     small, larger = divmod(total, shards)
-    start = F.element_at(F.create_map(*(F.lit(x) for kv in starts.items() for x in kv)), F.col("part")) if starts else F.lit(0)
-    rank = start + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    begins = df.sparkSession.createDataFrame(starts, "part long, begins long")
+    stored = stored.join(F.broadcast(begins), "part")  # a row per partition
+    rank = F.col("begins") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
     edge = larger * (small + 1)  # the first shards have a row more
     ranked = stored.withColumn("place", rank.cast("long"))
     if not small:

@@ -145,7 +145,7 @@ def likely(a: str, b: str) -> Column:
 
 def linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs whose full sets are similar enough; rows of one `a` follow one another."""
-    last, left = None, set()
+    last, last_text, left = None, None, set()
     for frame in frames:
         keep = []
         for a, text_a, text_b in zip(frame["a"], frame["text_a"], frame["text_b"]):
