@@ -139,10 +139,13 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
 def postings(df: DataFrame, doc: str, text: str, trigrams: list[str]) -> DataFrame:
     """(trigram, doc): the index, for the given trigrams, in lower case."""
     low = ascii_lower(F.coalesce(F.col(text), F.lit("")))
-    found = df.select(F.col(doc).alias("doc"), low.alias("low")).select(
-        "doc", F.array_compact(F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in trigrams))).alias("found")
-    )
-    return found.select(F.explode("found").alias("trigram"), "doc")
+
+    def present(t: Column) -> Column:
+        return F.array_compact(F.array(*(F.when(F.contains(t, F.lit(x)), F.lit(x)) for x in trigrams)))
+
+    # an array of one holds the lower-case text, which would else be made again for every trigram
+    found = F.get(F.transform(F.array(low), present), F.lit(0))
+    return df.select(F.col(doc).alias("doc"), F.explode_outer(found).alias("trigram")).filter("trigram is not null").select("trigram", "doc")
 
 
 def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
