@@ -87,9 +87,9 @@ def op5_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.with_round_trip(docs, public_tokenizers.path(BPE_FILE)).drop("text")
 
 
-def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+def op6_line_dedup(spark: SparkSession, folder: str, both_sides: bool = False) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    cleaned = linededup.dedup_lines(docs)
+    cleaned = linededup.dedup_lines(docs, both_sides=both_sides)
     kept = F.coalesce("kept_text", F.lit(""))
     return cleaned.select(
         "doc_id",
@@ -101,6 +101,11 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_line_dedup_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeated runs with both their ends."""
+    return op6_line_dedup(spark, folder, both_sides=True)
+
+
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs).withColumnRenamed("doc", "doc_id")
@@ -141,7 +146,7 @@ def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op3_toxicity, op4_warc_archives, op5_bpe_round_trip, op6_line_dedup, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op3_toxicity, op4_warc_archives, op5_bpe_round_trip, op6_line_dedup, op6_line_dedup_runs, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
 
 def _secret_sql() -> str:
     """All matches of every rule by one pass of its expression over whole texts: no index."""
@@ -269,3 +274,17 @@ select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n, 0) as n_deleted, c
        length(coalesce(t, ''))::bigint as kept_chars, sha256(coalesce(t, '')) as kept_sha256
 from documents d left join kept using (doc_id) left join told using (doc_id)""",
 }
+
+# the windows of two lines at least that grow backward from their last line, beside those of op6_line_dedup
+SQL["op6_line_dedup_runs"] = SQL["op6_line_dedup"].replace(
+    """
+), later as (""",
+    """
+  union
+  select b.doc_id, min(a.place) as first_place, b.place as last_place, list(a.k order by a.i) as content
+  from lines a join lines b on a.doc_id = b.doc_id and b.i between a.i and a.i + 49
+       and (b.upto - a.upto < 50 or a.i = b.i - 1)
+  group by b.doc_id, b.place
+  having sum(a.w) >= 50
+), later as (""",
+)

@@ -70,3 +70,50 @@ def test_query_against_sql(spark):
     assert comparable(df.columns, rows) == comparable(rel.columns, rel.fetchall())
     assert not type_differences(df, rel)
     assert any(r["n_deleted"] for r in rows)
+
+
+def plain_runs(docs, passage):
+    """{index of row: kept text} from all runs of whole lines, one by one; rows are in key order."""
+    seen, out = set(), []
+    for _, text in docs:
+        raw = text.split("\n")
+        lines = [(k, x.strip(linededup.BLANK_CHARACTERS)) for k, x in enumerate(raw)]
+        lines = [(k, x) for k, x in lines if x]
+        gone = set()
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                content = tuple(x for _, x in lines[i:j])
+                if sum(len(x.split()) for x in content) >= passage:
+                    if content in seen:
+                        gone |= set(range(lines[i][0], lines[j - 1][0] + 1))
+                    seen.add(content)
+        out.append("\n".join(x for k, x in enumerate(raw) if k not in gone))
+    return out
+
+
+def test_both_sides_against_all_runs(spark):
+    rnd = random.Random(22)
+    pool = [" ".join(rnd.choices("abcdefg", k=rnd.randint(1, 6))) for _ in range(14)] + ["", "  ", "a b c d e f g h i j k l"]
+    docs = [(i, "\n".join(rnd.choices(pool, k=rnd.randint(0, 14)))) for i in range(150)] + [(201, ""), (202, "x y\n" * 40)]
+    df = spark.createDataFrame(docs, SCHEMA).coalesce(1)
+    got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup_lines(df, passage=10, both_sides=True).collect()}
+    assert got == {i: want for (i, _), want in zip(docs, plain_runs(docs, 10))}
+    assert plain_runs(docs, 10) != plain(docs, 10)
+
+
+def test_both_sides_take_the_last_lines_of_a_run(spark):
+    line = lambda word, n: " ".join(f"{word}{i}" for i in range(n))
+    first, second = "\n".join([line("a", 30), line("b", 30), line("c", 15)]), f"{line('d', 50)}\n{line('e', 49)}"
+    docs = [(1, first), (2, f"own\n{first}\nend"), (3, second), (4, f"{second}\nend")]
+    df = spark.createDataFrame(docs, SCHEMA)
+    got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup_lines(df, both_sides=True).collect()}
+    assert got == {1: first, 2: "own\nend", 3: second, 4: "end"}
+
+
+def test_runs_query_against_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    df, rel = queries.op6_line_dedup_runs(spark, sf), duck(sf).sql(queries.SQL["op6_line_dedup_runs"])
+    rows = df.collect()
+    assert comparable(df.columns, rows) == comparable(rel.columns, rel.fetchall())
+    assert not type_differences(df, rel)
+    assert sum(r["n_deleted"] for r in rows) > sum(r["n_deleted"] for r in queries.op6_line_dedup(spark, sf).collect())
