@@ -13,7 +13,9 @@ node meets one more of another component, and again, and only what is still mixe
 compared member by member, between different components, by tasks that each hold two blocks of a
 bucket and give back links alone. So no candidate link between components is left out.
 
-A pair of similarity 0.85 shares no band with probability (1 - 0.85**7)**36 < 1e-6.
+Shingle size and threshold are arguments (`Rule`). Bands have as many rows as leave a pair at the threshold
+without a common band with probability below `MISS`: 36 of 7 for 0.85, (1 - 0.85**7)**36 < 1e-6, and 50
+of 5 for 0.8, (1 - 0.8**5)**50 < 1e-8. The posterior limits are those of the threshold.
 
 Defined results: rows of one id are one document; null ids are not linked and stay; null texts and texts
 without words have no shingles, are linked with nothing and stay; repeated rows have equal results;
@@ -25,6 +27,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -50,7 +53,7 @@ _random = np.random.Generator(np.random.PCG64(20_03))
 _WORD = _random.integers(1, 1 << 63, SHINGLE + 1, dtype=np.uint64) | np.uint64(1)
 _SLOPE = (_random.integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2)) + np.uint64(1)
 _SHIFT = _random.integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64)
-_BAND = _random.integers(1, 1 << 63, (BANDS, BAND_ROWS), dtype=np.uint64) | np.uint64(1)
+_BAND = _random.integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) | np.uint64(1)
 _PLACE = np.uint64(1) << np.arange(BATCH, dtype=np.uint64)
 
 
@@ -59,10 +62,10 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
-    if len(words) < SHINGLE:
+def shingles(words: list[bytes], shingle: int = SHINGLE) -> set[tuple[bytes, ...]]:
+    if len(words) < shingle:
         return {tuple(words)} if words else set()
-    return set(zip(*(words[i:] for i in range(SHINGLE))))
+    return set(zip(*(words[i:] for i in range(shingle))))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,15 +74,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(words: list[bytes]) -> np.ndarray:
-    """The distinct 64-bit hashes of the shingles."""
+def shingle_hashes(words: list[bytes], weights: np.ndarray = _WORD) -> np.ndarray:
+    """The distinct 64-bit hashes of the shingles, which have a word for each weight but the last."""
     if not words:
         return np.zeros(0, dtype=np.uint64)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    size = min(SHINGLE, len(words))
-    total = np.full(len(words) - size + 1, size, dtype=np.uint64) * _WORD[SHINGLE]
+    size = min(len(weights) - 1, len(words))
+    total = np.full(len(words) - size + 1, size, dtype=np.uint64) * weights[-1]
     for i in range(size):
-        total += hashes[i : len(hashes) - size + 1 + i] * _WORD[i]
+        total += hashes[i : len(hashes) - size + 1 + i] * weights[i]
     return np.unique(_mixed(total))
 
 
@@ -91,27 +94,6 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return least
 
 
-def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(doc, text) to (doc, n, d1, d2, s0 to s3, bands): size and digest of the word sequence, the bits
-    of the signature, and one key for each band."""
-    for frame in frames:
-        out = []
-        for doc, text in zip(frame["doc"], frame["text"]):
-            words = words_of(text)
-            hashes = shingle_hashes(words)
-            digest = xxhash.xxh3_128_intdigest(b" ".join(words))
-            d1, d2 = np.array([digest >> 64, digest & (1 << 64) - 1], dtype=np.uint64).view(np.int64)
-            least = signature(hashes)
-            bits = ((least >> np.uint64(20)) & np.uint64(1)).reshape(BATCHES, BATCH)
-            s = (bits * _PLACE).sum(axis=1, dtype=np.uint64).view(np.int64)
-            keys = _mixed(((least.reshape(BANDS, BAND_ROWS) >> np.uint64(32)) * _BAND).sum(axis=1, dtype=np.uint64))
-            out.append((doc, len(hashes), d1, d2, *s, keys.view(np.int64) if len(hashes) else []))
-        yield pd.DataFrame(out, columns=["doc", "n", "d1", "d2", "s0", "s1", "s2", "s3", "bands"])
-
-
-SKETCH = "doc long, n long, d1 long, d2 long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
-
-
 @lru_cache(maxsize=4)
 def most_mismatches(threshold: float = SHARE[0] / SHARE[1], miss: float = MISS) -> list[int]:
     """After each batch, the most differing bits with which a pair still goes on.
@@ -132,41 +114,92 @@ def most_mismatches(threshold: float = SHARE[0] / SHARE[1], miss: float = MISS)
     return limits
 
 
-def likely(a: str, b: str) -> Column:
+class Rule(NamedTuple):
+    """Linked: share[1] * intersection >= share[0] * union of the sets of shingles."""
+
+    share: tuple[int, int]
+    weights: np.ndarray  # of the words of a shingle, and of its size
+    bands: int
+    band_rows: int
+    limits: list[int]
+
+    @property
+    def shingle(self) -> int:
+        return len(self.weights) - 1
+
+
+def rule_of(shingle: int = SHINGLE, share: tuple[int, int] = SHARE) -> Rule:
+    """The longest bands, up to `BAND_ROWS`, that miss a pair at the threshold with probability below `MISS`."""
+    threshold = share[0] / share[1]
+    if shingle < 1 or not 0 < threshold <= 1:
+        raise ValueError(f"no shingles of {shingle} words, or no threshold: {threshold}")
+    hashes = BATCH * BATCHES
+    fits = [r for r in range(1, BAND_ROWS + 1) if (1 - threshold**r) ** (hashes // r) < MISS]
+    if not fits:
+        raise ValueError(f"{hashes} hashes are too few for a threshold of {threshold}")
+    rows = fits[-1]
+    weights = np.random.Generator(np.random.PCG64(20_03)).integers(1, 1 << 63, shingle + 1, dtype=np.uint64)
+    return Rule(share, weights | np.uint64(1), hashes // rows, rows, most_mismatches(threshold))
+
+
+def sketch(frames: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
+    """(doc, text) to (doc, n, d1, d2, s0 to s3, bands): size and digest of the word sequence, the bits
+    of the signature, and one key for each band."""
+    shape, used = (rule.bands, rule.band_rows), rule.bands * rule.band_rows
+    for frame in frames:
+        out = []
+        for doc, text in zip(frame["doc"], frame["text"]):
+            words = words_of(text)
+            hashes = shingle_hashes(words, rule.weights)
+            digest = xxhash.xxh3_128_intdigest(b" ".join(words))
+            d1, d2 = np.array([digest >> 64, digest & (1 << 64) - 1], dtype=np.uint64).view(np.int64)
+            least = signature(hashes)
+            bits = ((least >> np.uint64(20)) & np.uint64(1)).reshape(BATCHES, BATCH)
+            s = (bits * _PLACE).sum(axis=1, dtype=np.uint64).view(np.int64)
+            keys = _mixed(((least[:used] >> np.uint64(32)) * _BAND[:used]).reshape(shape).sum(axis=1, dtype=np.uint64))
+            out.append((doc, len(hashes), d1, d2, *s, keys.view(np.int64) if len(hashes) else []))
+        yield pd.DataFrame(out, columns=["doc", "n", "d1", "d2", "s0", "s1", "s2", "s3", "bands"])
+
+
+SKETCH = "doc long, n long, d1 long, d2 long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
+
+
+def likely(a: str, b: str, rule: Rule) -> Column:
     """May two nodes still be linked, by their sizes and, batch after batch, by their signatures?"""
     na, nb = F.col(f"{a}n"), F.col(f"{b}n")
-    hope = SHARE[1] * F.least(na, nb) >= SHARE[0] * F.greatest(na, nb)
+    hope = rule.share[1] * F.least(na, nb) >= rule.share[0] * F.greatest(na, nb)
     differing = F.lit(0)
-    for i, most in enumerate(most_mismatches()):
+    for i, most in enumerate(rule.limits):
         differing = differing + F.bit_count(F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}")))
         hope = hope & (differing <= most)
     return hope
 
 
-def linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def linked(frames: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
     """Pairs whose full sets are similar enough; rows of one `a` follow one another."""
     last, last_text, left = None, None, set()
     for frame in frames:
         keep = []
         for a, text_a, text_b in zip(frame["a"], frame["text_a"], frame["text_b"]):
             if a != last or text_a != last_text:
-                last, last_text, left = a, text_a, shingles(words_of(text_a))
-            right = shingles(words_of(text_b))
+                last, last_text, left = a, text_a, shingles(words_of(text_a), rule.shingle)
+            right = shingles(words_of(text_b), rule.shingle)
             common = len(left & right)
-            keep.append(SHARE[1] * common >= SHARE[0] * (len(left) + len(right) - common))
+            keep.append(rule.share[1] * common >= rule.share[0] * (len(left) + len(right) - common))
         yield frame.loc[keep, ["a", "b"]]
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """(a, b) of the pairs that are links. A node that stands in very many pairs is split by the
     joins, and its own text joins last, so it is not shuffled with each of its partners."""
     marks = [c for c in nodes.columns if c not in ("node", "bands")]
     side = lambda x: nodes.select(F.col("node").alias(x), *(F.col(c).alias(f"{x}{c}") for c in marks))
-    hopeful = pairs.join(side("a"), "a").join(side("b"), "b").filter(likely("a", "b")).select("a", "b")
+    hopeful = pairs.join(side("a"), "a").join(side("b"), "b").filter(likely("a", "b", rule)).select("a", "b")
     hopeful = runtime.materialise(hopeful, "hopeful")
     both = hopeful.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return runtime.materialise(both.select("a", "b", "text_a", "text_b").mapInPandas(linked, "a long, b long").distinct(), "links")
+    found = both.select("a", "b", "text_a", "text_b").mapInPandas(lambda frames: linked(frames, rule), "a long, b long")
+    return runtime.materialise(found.distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -230,7 +263,7 @@ def other_stars(mixed: DataFrame, turn: int) -> DataFrame:
     return stars.select(F.col("lead.a").alias("a"), F.col("node").alias("b"))
 
 
-def compare_group(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+def compare_group(rows: list[tuple], rule: Rule) -> Iterator[tuple[int, int]]:
     """Links between the components of one pair of a bucket's blocks. Rows are (key, i, j, block, node,
     component, n, s0 to s3, bands, text). A pair is compared in the first band that it shares, and no
     longer once its components are joined; the likeliest partners come first."""
@@ -242,7 +275,7 @@ def compare_group(rows: list[tuple]) -> Iterator[tuple[int, int]]:
     component, sizes = (np.array([r[k] for r in right], dtype=np.int64) for k in (5, 6))
     bits = np.array([r[7:11] for r in right], dtype=np.int64).view(np.uint64)
     bands = np.array([r[11] for r in right], dtype=np.int64)
-    limits, band = most_mismatches(), int(np.argmax(np.array(left[0][11]) == key))
+    limits, band = rule.limits, int(np.argmax(np.array(left[0][11]) == key))
     joined: dict[int, int] = {}
     sets: dict[int, set] = {}
 
@@ -253,13 +286,13 @@ def compare_group(rows: list[tuple]) -> Iterator[tuple[int, int]]:
 
     def full(row: tuple) -> set:
         if row[4] not in sets:
-            sets[row[4]] = shingles(words_of(row[12]))
+            sets[row[4]] = shingles(words_of(row[12]), rule.shingle)
         return sets[row[4]]
 
     for at, a in enumerate(left):
         start = at + 1 if i == j else 0
         hope = component[start:] != a[5]
-        hope &= SHARE[1] * np.minimum(sizes[start:], a[6]) >= SHARE[0] * np.maximum(sizes[start:], a[6])
+        hope &= rule.share[1] * np.minimum(sizes[start:], a[6]) >= rule.share[0] * np.maximum(sizes[start:], a[6])
         if not hope.any():
             continue
         if band:
@@ -272,27 +305,27 @@ def compare_group(rows: list[tuple]) -> Iterator[tuple[int, int]]:
             if root(a[5]) == root(b[5]):
                 continue
             common = len(full(a) & full(b))
-            if SHARE[1] * common >= SHARE[0] * (len(full(a)) + len(full(b)) - common):
+            if rule.share[1] * common >= rule.share[0] * (len(full(a)) + len(full(b)) - common):
                 joined[root(a[5])] = root(b[5])
                 yield a[4], b[4]
 
 
-def compare_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def compare_groups(frames: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
     """Groups of rows follow one another and may go over the end of a frame."""
     group: list[tuple] = []
     for frame in frames:
         links = []
         for row in frame.itertuples(index=False, name=None):
             if group and group[0][:3] != row[:3]:
-                links += compare_group(group)
+                links += compare_group(group, rule)
                 group = []
             group.append(row)
         yield pd.DataFrame(links, columns=["a", "b"])
     if group:
-        yield pd.DataFrame(list(compare_group(group)), columns=["a", "b"])
+        yield pd.DataFrame(list(compare_group(group, rule)), columns=["a", "b"])
 
 
-def compare_all(mixed: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def compare_all(mixed: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): links between the components of mixed buckets. A bucket is cut into blocks of some
     `MEMBERS` nodes, and every pair of its blocks is compared by one task; pairs of nodes are never rows."""
     counts = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
@@ -307,13 +340,18 @@ def compare_all(mixed: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFra
         "key", "i", "j", "block", "node", "component", "n", "s0", "s1", "s2", "s3", "bands", "text"
     )
     sorted_groups = whole.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return runtime.materialise(sorted_groups.mapInPandas(compare_groups, "a long, b long").distinct(), "links")
+    links = sorted_groups.mapInPandas(lambda frames: compare_groups(frames, rule), "a long, b long")
+    return runtime.materialise(links.distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, n_shingles, component_id, kept): one row per row of `docs`."""
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, share: tuple[int, int] = SHARE
+) -> DataFrame:
+    """(doc, n_shingles, component_id, kept): one row per row of `docs`. Linked are documents whose sets of
+    `shingle` words have a similarity of share[0] / share[1] or more."""
+    rule = rule_of(shingle, share)
     given = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    sketches = runtime.materialise(given.mapInPandas(sketch, SKETCH), "sketches")
+    sketches = runtime.materialise(given.mapInPandas(lambda frames: sketch(frames, rule), SKETCH), "sketches")
     marks = ["n", "s0", "s1", "s2", "s3", "bands"]
     nodes = sketches.filter("n > 0 and doc is not null").groupBy("d1", "d2")
     nodes = runtime.materialise(nodes.agg(F.min("doc").alias("node"), *(F.first(m).alias(m) for m in marks)), "nodes")
@@ -325,14 +363,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts = runtime.materialise(given.join(met, F.col("doc") == F.col("node")).select("node", "text"), "texts")
 
     stars = buckets.groupBy("node").agg(F.min("lead").alias("a")).filter("node <> a")
-    labels = runtime.materialise(components(verify(stars.select("a", F.col("node").alias("b")), nodes, texts)), "components")
+    labels = runtime.materialise(components(verify(stars.select("a", F.col("node").alias("b")), nodes, texts, rule)), "components")
     mixed = buckets.select("key", "node")
     for turn in range(TURNS):
         mixed = mixed_buckets(mixed.select("key", "node"), labels)
-        labels = merge(labels, verify(other_stars(mixed, turn), nodes, texts))
+        labels = merge(labels, verify(other_stars(mixed, turn), nodes, texts, rule))
 
     mixed = mixed_buckets(mixed.select("key", "node"), labels)
-    labels = merge(labels, compare_all(mixed, nodes, texts))
+    labels = merge(labels, compare_all(mixed, nodes, texts, rule))
 
     copies = nodes.select("d1", "d2", "node").join(labels, "node", "left")
     copies = runtime.materialise(copies.select("d1", "d2", F.coalesce("component", "node").alias("component")), "copies")
@@ -347,8 +385,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, share: tuple[int, int] = SHARE
+) -> DataFrame:
     """The rows of `docs` that stay: of each group of near copies the document of the smallest id."""
-    judged = near_duplicates(docs, key, text)
+    judged = near_duplicates(docs, key, text, shingle, share)
     gone = runtime.materialise(judged.filter("not kept").select(F.col("doc").alias("__gone")).distinct(), "gone")
     return docs.join(gone, docs[key].cast("long") == gone["__gone"], "left_anti")

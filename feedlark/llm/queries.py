@@ -108,7 +108,7 @@ def op6_line_dedup_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return neardup.near_duplicates(docs).withColumnRenamed("doc", "doc_id")
+    return neardup.near_duplicates(docs, shingle=3, share=(85, 100)).withColumnRenamed("doc", "doc_id")
 
 
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:

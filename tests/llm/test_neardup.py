@@ -113,3 +113,41 @@ def test_blocks_of_a_bucket(spark, monkeypatch):
             copy[rnd.randrange(60)] = f"n{rnd.randrange(10)}"
         docs.append((100 - i, " ".join(copy)))
     assert judged(spark.createDataFrame(docs, "doc_id long, text string")) == plain(docs)
+
+
+def plain_links(docs, shingle, share):
+    """{doc: component} from all pairs of the sets of `shingle` words."""
+    s = [neardup.shingles(t.lower().encode().split(), shingle) for _, t in docs]
+    component = {d: d for d, _ in docs}
+    for i, (a, _) in enumerate(docs):
+        for j, (b, _) in enumerate(docs[:i]):
+            if share[1] * len(s[i] & s[j]) >= share[0] * len(s[i] | s[j]):
+                old, new = sorted((component[a], component[b]), reverse=True)
+                component = {d: new if c == old else c for d, c in component.items()}
+    return component
+
+
+def test_five_words_and_another_threshold(spark):
+    rnd = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    docs = []
+    for _ in range(20):
+        base = rnd.choices(vocabulary, k=200)
+        for more in (0, 40, rnd.randint(41, 70)):
+            docs.append((len(docs), " ".join(base + rnd.choices(vocabulary, k=more))))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    components = {}
+    for rule in ((5, (80, 100)), (3, (85, 100))):
+        got = neardup.near_duplicates(df, shingle=rule[0], share=rule[1]).collect()
+        components[rule[0]] = {r["doc"]: r["component_id"] for r in got}
+        assert components[rule[0]] == plain_links(docs, *rule)
+    assert all(components[5][i + 1] == components[5][i] and components[3][i + 1] != components[3][i] for i in range(0, 60, 3))
+    assert {r["doc_id"] for r in neardup.keep_one(df, shingle=5, share=(80, 100)).collect()} == set(components[5].values())
+
+
+def test_bands_miss_little_at_the_threshold():
+    for share in ((70, 100), (80, 100), (85, 100), (95, 100)):
+        rule = neardup.rule_of(5, share)
+        assert (1 - (share[0] / share[1]) ** rule.band_rows) ** rule.bands < neardup.MISS
+        assert rule.bands * rule.band_rows <= neardup.BATCH * neardup.BATCHES
+    assert neardup.rule_of()[2:4] == (neardup.BANDS, neardup.BAND_ROWS)
