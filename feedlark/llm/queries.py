@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.llm import bpe, chat, decontam, hilbert, linededup, neardup, quality, secretscan, toxicity, warc
+from feedlark.llm import (
+    bpe, chat, decontam, hardneg, hilbert, linededup, neardup, prefixtrie, quality, secretscan, spotsigs, toxicity, warc,
+)
 
 SHARDS = 40
 BPE_FILE = "byte_bpe_50k.json"
@@ -146,7 +148,25 @@ def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op3_toxicity, op4_warc_archives, op5_bpe_round_trip, op6_line_dedup, op6_line_dedup_runs, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers)}
+def op11_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spotsigs.edited_likeness(docs)
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conv = F.col("conv_id")
+    heads = F.crc32(conv.cast("string").cast("binary")) % 4
+    turns = prefixtrie.turn_rows(table(spark, folder, "conversations"))
+    return prefixtrie.prefix_trie(prefixtrie.with_shared_starts(turns, conv - conv % 20, heads, most=3))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_chat_format, op3_toxicity, op4_warc_archives, op5_bpe_round_trip, op6_line_dedup, op6_line_dedup_runs, op7_near_dedup, op8_secret_scan, op9_decontaminate, op10_quality_outliers, op11_spotsigs, op12_prefix_trie, op13_hard_negatives)}
 
 def _secret_sql() -> str:
     """All matches of every rule by one pass of its expression over whole texts: no index."""
@@ -234,6 +254,65 @@ select p.page_id, n as payload_bytes, sha256(p.html) as payload_digest,
        case when first <> p.page_id then 'revisit' else 'response' end as record_type,
        case when first <> p.page_id then first end as refers_to
 from p left join f using (html)""",
+    # all prefixes of all conversations as lists, grouped; crc32 is computed bit by bit
+    "op12_prefix_trie": r"""
+with t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as p
+  from conversations where conv_id is not null
+), c as (
+  select conv_id, conv_id - conv_id % 20 as base,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+             lambda s, x: list_reduce(list_prepend(xor(s, x), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+               lambda r, z: case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end)), 4294967295) % 4 as h
+  from (select distinct conv_id from t)
+), g as (
+  select c.conv_id, 0 as side, t.p, role, text from c join t on t.conv_id = c.base and t.p < h
+  union all select c.conv_id, 1, t.p, role, text from c join t on t.conv_id = c.conv_id and t.p >= h
+), s as (
+  select conv_id, coalesce(list({'role': role, 'text': text} order by side, p) filter (role is not null), []) as seq
+  from c left join g using (conv_id) group by conv_id
+), x as (
+  select conv_id, d, len(seq) = d as ended, list_slice(seq, 1, d) as key,
+         case when d > 0 then len(regexp_extract_all(seq[d].text, '[^\x20\x09-\x0D]+')) else 0 end as w
+  from (select *, unnest(generate_series(0, len(seq))) as d from s)
+), n as (
+  select min(conv_id) as node, d, key, any_value(w) as w, count(*) as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ended), '')) as ends_sha256
+  from x group by d, key
+), m as (select x.conv_id, x.d, n.node from x join n using (d, key)
+), above as (
+  select n.node, n.d, m.node as up, m.d as up_d from n join m on m.conv_id = n.node and m.d <= n.d
+), kids as (select up as node, up_d as d, count(*) as n_children from above where d = up_d + 1 group by all
+), sub as (
+  select a.up as node, a.up_d as d, sum((n.n_convs - 1) * n.w)::bigint as saved_tokens,
+         count(*) filter (k.n_children is null) as n_leaves
+  from above a join n on n.node = a.node and n.d = a.d left join kids k on k.node = a.node and k.d = a.d group by all
+)
+select n.node as conv_id, n.d::bigint as depth, a.up as parent_conv_id, n_convs, coalesce(n_children, 0) as n_children,
+       n_leaves, saved_tokens, ends_sha256
+from n join sub using (node, d) left join kids using (node, d)
+left join above a on a.node = n.node and a.d = n.d and a.up_d = n.d - 1""",
+    # every anchor against every row
+    "op13_hard_negatives": """
+with r as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id, list_dot_product(a.v, b.v)::bigint as score
+  from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5""",
     # every window of whole lines, compared with all others: no fingerprints
     "op6_line_dedup": r"""
 with raw as (
