@@ -44,7 +44,7 @@ from feedlark.llm.common import pieces
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK = 4096  # conversations of a block
+BLOCK = 1024  # conversations of a block
 BLOCKS = 65_536  # the most blocks, and so the most numbers that are sent to every task
 FIELDS = "conv_id long, n_convs long, n_children long, n_leaves long, words long, new_words long"
 EMITTED = (
@@ -76,6 +76,7 @@ def with_shared_starts(turns: DataFrame, base: Column, heads: Column, most: int)
     """(conv_id, place, a, b, words) after every conversation's first `heads` turns, `most` at most, are replaced by
     those of the conversation `base`; both are expressions of conv_id. The last row of each conversation has
     no turn (null place), so that none is lost."""
+    turns = runtime.materialise(turns, "turns")
     convs = turns.select("conv_id").distinct().select("conv_id", base.alias("base"), heads.alias("heads"))
     convs = runtime.materialise(convs, "conversations")
     firsts = turns.filter(F.col("place") < most).join(convs.select(F.col("base").alias("conv_id")).distinct(), "conv_id", "left_semi")
