@@ -5,10 +5,10 @@ all stop words between them passed over. The set of signatures is the document's
 and Paepcke, "SpotSigs", 2008). Prose has anchors everywhere, lists and navigation have few.
 
 Near duplicates are found within partitions of set length: at a threshold t, sets of sizes a <= b can be alike
-only if a >= t * b, so with partition borders that grow by 1 / t a set meets those of its own partition and of the
-one beside it. Each partition has an inverted index over the rarest signatures of each set: two sets that reach
+only if a >= t * b. Partition borders grow by t ** -4, and a set lies in its own partition and, if one of up to 1 / t
+times its size would, in the next. Each partition has an inverted index over the rarest signatures of each set: two sets that reach
 t share one of the |A| - ceil(t * |A|) + 1 first of A, whatever the common order. The order is from rare to
-frequent by counts of `CELLS` cells of signature hashes, which only decide the cost. What shares a posting list is
+frequent by counts of `CELLS` cells of signature hashes (each task leaves out cells met once), which only decide the cost. What shares a posting list is
 compared by Jaccard with bounds: sizes first, then chunk by chunk, until what is left cannot reach t.
 
 Sets that are equal are one node. A posting list is not expanded into pairs: every node meets one other, the nodes
@@ -43,7 +43,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHAIN = 3  # content words of a signature
 SHARE = (80, 100)  # alike: 100 * intersection >= 80 * union
-CELLS = 65_536  # counters of signature frequency
+CELLS = 1 << 20  # counters of signature frequency
+WIDTH = 4  # lengths within a partition differ by up to this power of the threshold
 TURNS = 2
 MEMBERS = 1024  # nodes of a posting list that meet in one task with as many others
 MOST_CLASSES = 2_000_000  # rows of classes that are broadcast (64 MB)
@@ -128,7 +129,9 @@ def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Texts are compressed for the one time that they are shuffled."""
     packer = zstandard.ZstdCompressor(level=3)
     for frame in frames:
-        yield frame.assign(text=[packer.compress(t.encode()) for t in frame["text"]])
+        raw = [t.encode() for t in frame["text"]]
+        order = np.array([xxhash.xxh3_64_intdigest(t) for t in raw], np.uint64).view(np.int64)
+        yield pd.DataFrame({"doc": frame["doc"], "order": order, "text": [packer.compress(t) for t in raw]})
 
 
 def edited(text: str, following: str) -> str:
@@ -183,11 +186,11 @@ def _close(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, n_chars, edited_sha256, mine, after, near_edited, near_next): each document with the next one, by descending
-    key; the last meets the first. Sets are binary, 8 bytes for each signature."""
+    key; the last meets the first. Sets are binary, 8 bytes for each signature. All of it is stored."""
     spark = docs.sparkSession
     given = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    packed = given.mapInPandas(_packed, "doc long, text binary")
-    order = [F.col("doc").desc_nulls_last(), F.col("text")]
+    packed = given.mapInPandas(_packed, "doc long, order long, text binary")
+    order = [F.col("doc").desc_nulls_last(), F.col("order")]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     sketched = packed.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(_stream, SKETCH)
     sketched = runtime.materialise(sketched, "sketches")
@@ -197,18 +200,21 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     closed = edges.select("doc", "last", "part").join(F.broadcast(beside), "part")
     closed = closed.join(edges.select(F.col("part").alias("beside"), F.col("first").alias("following")), "beside")
     closed = closed.select("doc", "last", "following").mapInPandas(_close, TOLD)
+    closed = runtime.materialise(closed, "sketches")
     return sketched.filter("last is null").drop("part", "first", "last").unionByName(closed)
 
 
 # ---- classes of near duplicates
 
 
-def length_partition(size: int, share: tuple[int, int] = SHARE) -> int:
-    return math.floor(math.log(size) / math.log(share[1] / share[0]) + 1e-9) if size else -1
+def length_partitions(size: int, share: tuple[int, int] = SHARE) -> range:
+    """The partition of a set of this size and, if a longer set that may be alike lies in the next, that one."""
+    at = lambda n: math.floor(math.log(n) / (WIDTH * math.log(share[1] / share[0])) + 1e-9) if share[0] < share[1] else n
+    return range(at(size), at(max(size, share[1] * size // share[0])) + 1)
 
 
 def postings(frames: Iterator[pd.DataFrame], counts: np.ndarray, share: tuple[int, int]) -> Iterator[pd.DataFrame]:
-    """(node, mine) to (node, key): posting lists of the rarest signatures, in the set's length partition and the next."""
+    """(node, mine) to (node, key): posting lists of the rarest signatures, in the set's length partitions."""
     for frame in frames:
         for start in range(0, len(frame), FRAME):
             nodes, keys = [], []
@@ -216,9 +222,8 @@ def postings(frames: Iterator[pd.DataFrame], counts: np.ndarray, share: tuple[in
                 found = np.frombuffer(mine, np.uint64)
                 rare = found[np.lexsort((found, counts[found % np.uint64(CELLS)]))]
                 rare = rare[: len(rare) - (-(-share[0] * len(rare) // share[1])) + 1]
-                at = length_partition(len(found), share)
-                for part in (at, at + 1):
-                    keys.append(_mixed(rare + _mixed(np.array([part + 2], np.uint64))).view(np.int64))
+                for part in length_partitions(len(found), share):
+                    keys.append(_mixed(rare + _mixed(np.array([part + 1], np.uint64))).view(np.int64))
                     nodes.append(np.full(len(rare), node, np.int64))
             yield pd.DataFrame({"node": np.concatenate(nodes), "key": np.concatenate(keys)} if nodes else {"node": [], "key": []})
 
@@ -229,7 +234,7 @@ def _cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for mine in frame["mine"]:
             seen += np.bincount((np.frombuffer(mine, np.uint64) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
-    cell = np.flatnonzero(seen)
+    cell = np.flatnonzero(seen > 1)
     yield pd.DataFrame({"cell": cell, "n": seen[cell]})
 
 
@@ -248,30 +253,54 @@ def verified(pairs: DataFrame, nodes: DataFrame, share: tuple[int, int]) -> Data
     return runtime.materialise(both.mapInPandas(lambda frames: _links(frames, share), "a long, b long").distinct(), "links")
 
 
-def compare_blocks(group: pd.DataFrame, share: tuple[int, int]) -> pd.DataFrame:
-    """Links between different components of two blocks of a posting list, by an inverted index of the second."""
-    i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
-    left = group[group["block"] == i]
-    right = left if i == j else group[group["block"] == j]
-    links: list[tuple[int, int]] = []
-    if len(left) and len(right) and group["component"].nunique() > 1:
-        sets = [np.frombuffer(x, np.uint64) for x in right["mine"]]
-        sizes = np.array([len(x) for x in sets], np.int64)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        flat = np.concatenate(sets)
-        order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
-        nodes, component = right["node"].to_numpy(np.int64), right["component"].to_numpy(np.int64).copy()
-        for node, own, x in zip(left["node"], left["component"], left["mine"]):
-            mine = np.frombuffer(x, np.uint64)
-            low, high = np.searchsorted(flat, mine, "left"), np.searchsorted(flat, mine, "right")
-            hits = np.concatenate([owner[a:b] for a, b in zip(low, high) if b > a] or [np.zeros(0, np.int64)])
-            common = np.bincount(hits, minlength=len(sets))
-            alike = (component != own) & (share[1] * common >= share[0] * (len(mine) + sizes - common))
-            # one link to each component is enough
-            for other in np.unique(component[alike]):
-                links.append((int(node), int(nodes[np.flatnonzero(alike & (component == other))[0]])))
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+def compare_blocks(rows: list[tuple], share: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links between the components of two blocks of a posting list; rows are (key, i, j, block, node, component, mine).
+    Two components are linked once."""
+    i, j = rows[0][1:3]
+    left = [r for r in rows if r[3] == i]
+    right = left if i == j else [r for r in rows if r[3] == j]
+    if not left or not right or len({r[5] for r in rows}) < 2:
+        return []
+    sets = {r[4]: np.frombuffer(r[6], np.uint64) for r in rows}
+    links: dict[tuple[int, int], tuple[int, int]] = {}
+    if len(left) * len(right) <= 64:
+        for a in left:
+            for b in right:
+                joint = (min(a[5], b[5]), max(a[5], b[5]))
+                if a[5] != b[5] and joint not in links and reaches(sets[a[4]], sets[b[4]], share):
+                    links[joint] = (a[4], b[4])
+        return list(links.values())
+    # an inverted index of the right block
+    sizes = np.array([len(sets[r[4]]) for r in right], np.int64)
+    owner = np.repeat(np.arange(len(right)), sizes)
+    flat = np.concatenate([sets[r[4]] for r in right])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    component = np.array([r[5] for r in right], np.int64)
+    for a in left:
+        mine = sets[a[4]]
+        low, high = np.searchsorted(flat, mine, "left"), np.searchsorted(flat, mine, "right")
+        hits = np.concatenate([owner[x:y] for x, y in zip(low, high) if y > x] or [owner[:0]])
+        common = np.bincount(hits, minlength=len(right))
+        alike = np.flatnonzero((component != a[5]) & (share[1] * common >= share[0] * (len(mine) + sizes - common)))
+        for k in alike:
+            links.setdefault((min(a[5], right[k][5]), max(a[5], right[k][5])), (a[4], right[k][4]))
+    return list(links.values())
+
+
+def compare_groups(frames: Iterator[pd.DataFrame], share: tuple[int, int]) -> Iterator[pd.DataFrame]:
+    """Groups of rows follow one another and may go over the end of a frame."""
+    group: list[tuple] = []
+    for frame in frames:
+        links: list[tuple[int, int]] = []
+        for row in frame.itertuples(index=False, name=None):
+            if group and group[0][:3] != row[:3]:
+                links += compare_blocks(group, share)
+                group = []
+            group.append(row)
+        yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    if group:
+        yield pd.DataFrame(compare_blocks(group, share), columns=["a", "b"], dtype="int64")
 
 
 def compare_rest(mixed: DataFrame, nodes: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -281,7 +310,8 @@ def compare_rest(mixed: DataFrame, nodes: DataFrame, share: tuple[int, int]) ->
     pairs = placed.select("key", "node", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     pairs = pairs.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     whole = pairs.join(nodes.select("node", "mine"), "node").select("key", "i", "j", "block", "node", "component", "mine")
-    links = whole.groupBy("key", "i", "j").applyInPandas(lambda group: compare_blocks(group, share), "a long, b long")
+    ordered = whole.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    links = ordered.mapInPandas(lambda frames: compare_groups(frames, share), "a long, b long")
     return runtime.materialise(links.distinct(), "links")
 
 
@@ -292,11 +322,12 @@ def classes(sketches: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     nodes = sketches.filter("doc is not null and length(mine) > 0").select("doc", "mine", *digests).groupBy("d1", "d2")
     nodes = runtime.materialise(nodes.agg(F.min("doc").alias("node"), F.first("mine").alias("mine")), "nodes")
     cells = nodes.select("mine").mapInPandas(_cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    met = cells.toArrow()  # `CELLS` rows at most
     counts = np.zeros(CELLS, np.int64)
-    for row in cells.collect():  # `CELLS` rows at most
-        counts[row["cell"]] = row["n"]
+    counts[met["cell"].to_numpy()] = met["n"].to_numpy()
+    sent = nodes.sparkSession.sparkContext.broadcast(counts)
 
-    listed = nodes.select("node", "mine").mapInPandas(lambda frames: postings(frames, counts, share), "node long, key long")
+    listed = nodes.select("node", "mine").mapInPandas(lambda frames: postings(frames, sent.value, share), "node long, key long")
     listed = runtime.materialise(listed, "postings")
     shared = listed.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead <> last")
     shared = runtime.materialise(shared.select("key", "lead"), "keys")
@@ -317,7 +348,7 @@ def classes(sketches: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
 def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", share: tuple[int, int] = SHARE) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, class_id), one row per row
     of `docs`. A fingerprint is the sorted set, 16 hexadecimal digits for each signature."""
-    sketches = runtime.materialise(with_next(docs, key, text), "fingerprints")
+    sketches = with_next(docs, key, text)
     found = classes(sketches.select("doc", "mine"), share)
     digests = [F.xxhash64("mine").alias("d1"), F.xxhash64(F.lit(1), "mine").alias("d2")]
     copies = sketches.filter("doc is not null").select("doc", *digests).join(found, ["d1", "d2"])

@@ -106,4 +106,8 @@ def test_bounds():
         want = common > 0 and 100 * common >= 80 * (len(a) + len(b) - common)
         assert spotsigs.reaches(a, b, chunk=4) == want
         if want:
-            assert abs(spotsigs.length_partition(len(a)) - spotsigs.length_partition(len(b))) <= 1
+            assert set(spotsigs.length_partitions(len(a))) & set(spotsigs.length_partitions(len(b)))
+    for a in range(1, 3000):
+        for b in (a, a + 1, 100 * a // 80):
+            if 80 * b <= 100 * a:
+                assert set(spotsigs.length_partitions(a)) & set(spotsigs.length_partitions(b))
