@@ -34,6 +34,15 @@ def set_scratch_if_unset(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="feedlark-"))
 
 
+def small_batches(spark: SparkSession, records: int = 1_000, size: str = "16m") -> None:
+    """For entry points whose rows hold whole texts: fewer rows go to a Python worker at a time, unless the session has
+    limits of its own. Workers live as long as their executor and keep the memory of the largest batch."""
+    for name, value in (("maxRecordsPerBatch", str(records)), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if not spark.sparkContext.getConf().contains(key):
+            spark.conf.set(key, value)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """Holds all intermediate tables of this application; may be deleted once it has ended."""
     return f"{scratch_root(spark)}/feedlark-{spark.sparkContext.applicationId}"
