@@ -257,9 +257,12 @@ def fit(
 
     def active(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            have = [terms(t) for t in frame["text"]]
-            soft = [_probability(base + float(added[[number[t] for t in number.keys() & h]].sum())) for h in have]
-            yield pd.DataFrame({"features": [[names[t] for t in names.keys() & h] for h in have], "soft": soft})
+            features, soft = [], []
+            for text in frame["text"]:  # a text's terms are many times its size: one set at a time
+                have = terms(text)
+                features.append([names[t] for t in names.keys() & have])
+                soft.append(_probability(base + float(added[[number[t] for t in number.keys() & have]].sum())))
+            yield pd.DataFrame({"features": features, "soft": soft})
 
     got = rows.select("text").mapInPandas(active, "features array<int>, soft double").toPandas()
     bias, weights = train([list(f) for f in got["features"]], got["soft"].to_numpy(), len(names))

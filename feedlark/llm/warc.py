@@ -143,7 +143,10 @@ def write_archives(pages: DataFrame, root: str, key: str = "page_id", payload: s
     large = F.octet_length("payload") >= LEAST_REVISIT
     groups = rows.filter(large).groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     groups = runtime.materialise(groups.filter("n > 1").drop("n"), "payloads")
-    placed = rows.join(small(groups, MOST_GROUPS), "digest", "left")
+    # payloads that are never revisited, the empty ones among them, have a key of their own each
+    own = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    keyed = rows.withColumn("met", F.when(large, F.col("digest")).otherwise(own))
+    placed = keyed.join(small(groups.withColumnRenamed("digest", "met"), MOST_GROUPS), "met", "left")
     refers = F.when(large & ~F.col("first").eqNullSafe(F.col("id")), F.col("first"))
     placed = placed.select(F.col("id").cast("string"), "url", "payload", "digest", refers.cast("string").alias("refers_to"))
     date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
@@ -186,7 +189,8 @@ def write_archives(pages: DataFrame, root: str, key: str = "page_id", payload: s
 
 def read_archives(manifest: DataFrame) -> DataFrame:
     """(key, payload_bytes, payload_digest, record_type, refers_to) of every record of the manifest's
-    archives; keys as strings. A task reads whole archives, one record at a time."""
+    archives; keys as strings. A task reads whole archives, one record at a time; archives are dealt out in turn to
+    as many tasks as there are archives, or four times the cores, since the manifest's size says nothing about theirs."""
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["key", "payload_bytes", "payload_digest", "record_type", "refers_to"]
@@ -196,5 +200,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 with system.open_input_stream(place) as file:
                     yield pd.DataFrame([parse(r) for r in read_archive(file)], columns=columns)
 
-    spread = manifest.select("path").repartition(F.col("path"))
+    spark = manifest.sparkSession
+    cores = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    spread = manifest.select("path").repartition(max(1, min(manifest.count(), 4 * cores)))
     return spread.mapInPandas(read, "key string, payload_bytes long, payload_digest string, record_type string, refers_to string")

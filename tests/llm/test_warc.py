@@ -3,6 +3,7 @@ import random
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 import zstandard
 
 from feedlark.llm import queries, warc
@@ -48,6 +49,17 @@ def test_empty_table(spark, tmp_path):
     assert got == [] and manifest.count() == 0
 
 
+def test_many_archives_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2_000)
+    rows = [(i, "u", f"{i} " * 300) for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    manifest = warc.write_archives(df, str(tmp_path / "many"))
+    assert manifest.count() == 200
+    found = warc.read_archives(manifest)
+    tasks = {r[0]: r[1] for r in found.groupBy(F.spark_partition_id()).count().collect()}
+    assert found.count() == 200 and len(tasks) == found.rdd.getNumPartitions() == 16 and max(tasks.values()) <= 16
+
+
 def test_dictionary_leads_and_helps():
     rnd = random.Random(2)
     words = ["".join(rnd.choices("abcdefghij", k=6)) for _ in range(300)]
