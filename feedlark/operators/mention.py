@@ -6,7 +6,8 @@ so the work is done once per distinct text and once per distinct bag of shared w
     posts -> distinct texts -> bags of shared words -> best names per bag
           <----------------- joined back by key ----<
 
-Every word of a bag meets the names that have it, and the products are summed by bag and name.
+Bags and names meet in blocks, and products are summed with upper bounds (`operators.bounds`): a name that cannot
+be among the best, or reach a threshold, is left out as soon as that is known.
 Weights follow the usual smooth form: idf = ln((1+N)/(1+df)) + 1, weight = tf * idf, L2 norm.
 Names are ranked by their dot product with the unnormalised post, rounded to 6 decimals, then by
 lowest product id.
@@ -16,11 +17,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlark import runtime
 from feedlark.functions.text import text_key
+from feedlark.operators import bounds
+from feedlark.operators.tables import number_rows
 from feedlark.operators.texts import attach, distinct_texts, text_words
 
 MAX_FEATURES = 10_000
@@ -75,10 +78,9 @@ def tfidf_weights(texts: DataFrame, vocab: DataFrame, bounded: bool = True) -> D
 class Catalog:
     """What scoring needs from the products, stored once; every table is small next to the posts."""
 
-    postings: DataFrame  # term, name_key, first_id (lowest product id), weight
-    ids: DataFrame  # name_key, product_id, product_name: the k lowest ids per name
+    blocks: DataFrame  # postings of the names by blocks; names are numbered by lowest product id
+    ids: DataFrame  # name_no, name_key, product_id, product_name: the k lowest ids per name
     vocab: DataFrame  # term, idf, df, named (does a name have the term?)
-    cells: int  # rows of `postings`
     k: int = 1
     bounded: bool = True  # has the vocabulary a size limit, so that it may be broadcast
 
@@ -91,6 +93,7 @@ def fit_catalog(
     product_name: str = "clean_name",
     k: int = 1,
     max_features: int | None = MAX_FEATURES,
+    block_cells: int = bounds.BLOCK_CELLS,
     **tokenising,
 ) -> tuple[Catalog, DataFrame]:
     """Vocabulary and weights fitted over both sides: the catalog, and the distinct post texts."""
@@ -102,10 +105,9 @@ def fit_catalog(
     bounded = max_features is not None and max_features <= BROADCAST_TERMS
 
     weights = tfidf_weights(names, vocab, bounded)
-    firsts = names.select("text_key", "first_id")
-    postings = weights.join(firsts, "text_key").select(
-        "term", F.col("text_key").alias("name_key"), "first_id", "weight"
-    )
+    numbered = number_rows(names.select("first_id", F.col("text_key").alias("name_key")), "first_id", "name_key", name="name_no")
+    numbered = runtime.materialise(numbered.select(F.col("name_no").cast("long"), "name_key"), "names")
+    postings = weights.join(numbered, weights["text_key"] == numbered["name_key"]).select("term", "name_no", "weight")
     postings = runtime.materialise(postings, "postings")
     named = postings.select("term", F.lit(True).alias("named")).distinct()
     vocab = vocab.join(named, "term", "left").withColumn("named", F.coalesce("named", F.lit(False)))
@@ -125,8 +127,8 @@ def fit_catalog(
         )
         ids = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
         ids = ids.select(text_key("product_name").alias("name_key"), "product_id", "product_name")
-    ids = runtime.materialise(ids, "ids")
-    return Catalog(postings, ids, vocab, postings.count(), k, bounded), texts
+    ids = runtime.materialise(ids.join(numbered, "name_key"), "ids")
+    return Catalog(bounds.name_blocks(postings, block_cells), ids, vocab, k, bounded), texts
 
 
 def shared_words(texts: DataFrame, catalog: Catalog) -> DataFrame:
@@ -141,68 +143,27 @@ def shared_words(texts: DataFrame, catalog: Catalog) -> DataFrame:
     return words.filter(F.size("shared") > 0)
 
 
-def _by_bag(bags: DataFrame) -> DataFrame:
-    """Shuffle the bags, one row each, so that their many pairs with names never have to be: with
-    broadcast postings, all later groupings by bag stay within a partition. The number of partitions
-    is fixed, as the size of the bags says little about the work that follows."""
-    conf, context = bags.sparkSession.conf, bags.sparkSession.sparkContext
-    wanted = max(int(conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
-    return bags.repartition(wanted, "bag_key")
-
-
-def _meet(
-    words: DataFrame, postings: DataFrame, small: bool, pairs_per_task: int, bounded: bool
-) -> DataFrame:
-    """Equi-join of words and postings on term. Postings above the size limit are shuffled, and the
-    terms with most pairs are split into several shares."""
-    if small:
-        return words.join(F.broadcast(postings), "term")
-    load = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_words")).join(
-        postings.groupBy("term").agg(F.count(F.lit(1)).alias("n_names")), "term"
-    )
-    shares = F.ceil(F.col("n_words") * F.col("n_names") / pairs_per_task)
-    shares = load.select("term", F.least("n_words", shares).cast("int").alias("shares"))
-    # a term has several shares only if it has more than `pairs_per_task` pairs: few terms do
-    shares = runtime.materialise(shares.filter("shares > 1"), "shares")
-    shares = F.broadcast(shares) if bounded else shares
-    n = F.coalesce(F.col("shares"), F.lit(1))
-    left = words.join(shares, "term", "left").withColumn(
-        "share", F.pmod(F.xxhash64("bag_key"), n).cast("int")
-    )
-    right = postings.join(shares, "term", "left").withColumn(
-        "share", F.explode(F.sequence(F.lit(0), n - 1))
-    )
-    return left.drop("shares").join(right.drop("shares"), ["term", "share"])
-
-
 def overlap_scores(
-    bags: DataFrame,
-    catalog: Catalog,
-    keep: tuple[str, ...] = (),
-    broadcast_cells: int = runtime.BROADCAST_CELLS,
-    pairs_per_task: int = runtime.PAIRS_PER_TASK,
+    bags: DataFrame, catalog: Catalog, keep: tuple[str, ...] = (), least: Column | None = None, k: int | None = None, **limits
 ) -> DataFrame:
-    """(bag_key, *keep, name_key, first_id, total) for every name that shares a word with the bag."""
-    cols = ["bag_key", *keep]
-    small = catalog.cells <= broadcast_cells
-    bags = _by_bag(bags) if small else bags
-    words = bags.select(*cols, F.explode("shared").alias("w")).select(*cols, "w.term", "w.raw")
-    met = _meet(words, catalog.postings, small, pairs_per_task, catalog.bounded)
-    total = F.sum(F.col("raw") * F.col("weight")).alias("total")
-    return met.groupBy(*cols, "name_key", "first_id").agg(total)
+    """(bag_key, *keep, name_no, total, rank_by): the names whose dot product with the bag is at least `least`, or
+    those among which are its k best. Names that cannot be among these are not summed."""
+    bags = bags.select("bag_key", *keep, "shared", (F.lit(0.0) if least is None else least).alias("least"))
+    bags = runtime.materialise(bags.withColumn("bag_no", F.monotonically_increasing_id()), "bags")
+    found = bounds.scores(bags, catalog.blocks, k, **limits)
+    return found.join(bags.select("bag_no", "bag_key", *keep), "bag_no")
 
 
 def best_names(bags: DataFrame, catalog: Catalog, keep: tuple[str, ...] = (), **limits) -> DataFrame:
-    """The k best names of each bag: bag_key, *keep, name_key, rank_by (rounded total; ties go to the
-    lowest product id), total."""
-    scores = overlap_scores(bags, catalog, keep, **limits)
-    scores = scores.withColumn("rank_by", F.round("total", 6)).filter("rank_by > 0")
-    cols = ["bag_key", *keep, "name_key", "rank_by", "total"]
+    """The k best names of each bag: bag_key, *keep, name_no, rank_by (rounded total; ties go to the lowest product
+    id, which has the lowest number), total."""
+    scores = overlap_scores(bags, catalog, keep, k=catalog.k, **limits).filter("rank_by > 0")
+    cols = ["bag_key", *keep, "name_no", "rank_by", "total"]
     if catalog.k == 1:  # an aggregate leaves one row per bag before the shuffle already
-        best = F.min(F.struct((-F.col("rank_by")).alias("minus"), "first_id", "name_key", "total"))
+        best = F.min(F.struct((-F.col("rank_by")).alias("minus"), "name_no", "total"))
         best = scores.groupBy("bag_key", *keep).agg(best.alias("b"))
-        return best.select("bag_key", *keep, "b.name_key", (-F.col("b.minus")).alias("rank_by"), "b.total")
-    order = Window.partitionBy("bag_key").orderBy(F.desc("rank_by"), "first_id")
+        return best.select("bag_key", *keep, "b.name_no", (-F.col("b.minus")).alias("rank_by"), "b.total")
+    order = Window.partitionBy("bag_key").orderBy(F.desc("rank_by"), "name_no")
     scores = scores.withColumn("place", F.row_number().over(order))
     return scores.filter(F.col("place") <= catalog.k).select(*cols)
 
@@ -220,7 +181,7 @@ def map_texts(
     bags = words.groupBy("bag_key", "shared").agg(F.count(F.lit(1)).alias("texts"))
 
     best = best_names(bags, catalog, ("texts",), **limits)
-    best = runtime.materialise(best, "ranked").join(catalog.ids, "name_key")
+    best = runtime.materialise(best, "ranked").join(catalog.ids, "name_no")
     match = F.struct((-F.col("rank_by")).alias("minus"), "product_id", "product_name", "total")
     best = best.groupBy("bag_key", "texts").agg(  # at most k * k entries
         F.slice(F.sort_array(F.collect_list(match)), 1, catalog.k).alias("matches")
@@ -269,6 +230,7 @@ def map_mentions(
     min_score: float = 0.0,
     tokenising: dict | None = None,
     hot_rows: int = runtime.HOT_ROWS,
+    block_cells: int = bounds.BLOCK_CELLS,
     **limits,
 ) -> DataFrame:
     """The k products each post resembles most, as rows: the post, place, product, score.
@@ -276,7 +238,7 @@ def map_mentions(
     Posts are read twice, so pass a stored table and not a long computation.
     """
     catalog, texts = fit_catalog(
-        posts, products, post_text, product_id, product_name, k, max_features, **(tokenising or {})
+        posts, products, post_text, product_id, product_name, k, max_features, block_cells, **(tokenising or {})
     )
     mapped = map_texts(texts, catalog, hot_rows, **limits)
     return attach_matches(posts, mapped, post_text, min_score, hot_rows)
@@ -287,11 +249,14 @@ def similar_pairs(texts: DataFrame, catalog: Catalog, min_score: float, **limits
     `min_score`, which must be above 0."""
     if min_score <= 0:
         raise ValueError("min_score must be above 0")
-    bags = shared_words(texts, catalog).withColumnRenamed("text_key", "bag_key")
-    scores = overlap_scores(bags, catalog, ("norm",), **limits)
+    bags = runtime.materialise(shared_words(texts, catalog).withColumnRenamed("text_key", "bag_key"), "words")
+    least = (F.lit(min_score) - 1e-6) * F.col("norm")
+    scores = overlap_scores(bags, catalog, ("norm",), least, **limits)
     scores = scores.select(
         F.col("bag_key").alias("text_key"),
-        "name_key",
+        "name_no",
         F.round(F.col("total") / F.col("norm"), 6).alias("similarity_score"),
     )
-    return scores.filter(F.col("similarity_score") >= min_score)
+    scores = scores.filter(F.col("similarity_score") >= min_score)
+    names = catalog.ids.select("name_no", "name_key").distinct()
+    return scores.join(names, "name_no").select("text_key", "name_key", "similarity_score")

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # a key with more rows than this is hot
 HOT_LOOKUP_ROWS = 500_000  # the most lookup rows of hot keys that are sent to every executor
-BROADCAST_CELLS = 5_000_000  # the most vector entries that are sent to every executor
-PAIRS_PER_TASK = 50_000_000  # join output that one task may produce for one key
 
 _scopes: list[str] = []
 
@@ -76,6 +74,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks_of(spark: SparkSession) -> int:
+    """Tasks of a stage whose work cannot be told from the size of its input."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread rows over all cores when they are read by fewer than half as many tasks.
 

@@ -9,7 +9,8 @@ from feedlark.functions.text import split_tokens, text_key
 from feedlark.operators import mention
 
 PLAIN = {"tokens": split_tokens, "counted": lambda c: F.col(c) != ""}
-SPLIT = {"broadcast_cells": 0, "pairs_per_task": 2}  # every rarely used path
+SPLIT = {"bag_rows": 7}  # many blocks
+CELLS = {"block_cells": 20}
 POSTS, PRODUCTS = "id string, clean_text string", "product_id string, clean_name string"
 
 
@@ -51,7 +52,7 @@ def test_golden(spark, rows):
         ("r1", "p1", 0.75204), ("r2", "p2", 0.394276), ("r3", None, 0.0)]
 
 
-@pytest.mark.parametrize("limits, k", [({}, 1), ({}, 3), ({**SPLIT, "hot_rows": 2}, 1), ({**SPLIT, "hot_rows": 2}, 3), ({}, 2)])
+@pytest.mark.parametrize("limits, k", [({}, 1), ({}, 3), ({**SPLIT, **CELLS, "hot_rows": 2}, 1), ({**SPLIT, **CELLS, "hot_rows": 2}, 3), ({}, 2)])
 def test_against_brute_force(spark, limits, k):
     posts, products = random_rows(1, 150, "r", 6), random_rows(2, 120, "p", 4)
     products = [p for p in products if p[1]]
@@ -75,7 +76,7 @@ def test_similar_pairs_against_brute_force(spark, limits):
         for text, found in brute_force(posts, products).items() for _, pid, score in found if score >= 0.4
     }
     p, q = spark.createDataFrame(posts, POSTS), spark.createDataFrame(products, PRODUCTS)
-    catalog, texts = mention.fit_catalog(p, q, **PLAIN)
+    catalog, texts = mention.fit_catalog(p, q, **PLAIN, **(CELLS if limits else {}))
     got = mention.similar_pairs(texts, catalog, 0.4, **limits)
     got = got.join(p.select("clean_text", text_key("clean_text").alias("text_key")).distinct(), "text_key")
     got = got.join(q.select("clean_name", text_key("clean_name").alias("name_key")).distinct(), "name_key")
