@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlark import schemas
+from feedlark import runtime, schemas
 from feedlark.operators.tables import keep_first, normalise_strings
 
 # The fields that a CSV reader of the Python data stack takes for missing.
@@ -19,48 +19,57 @@ class SourceError(ValueError):
     """A source does not have the layout it should have."""
 
 
-def read_objects(spark: SparkSession, path: str, key: str, kind: str) -> DataFrame:
+def read_objects(spark: SparkSession, path: str, key: str, kind: str, pattern: str = "*.json") -> DataFrame:
     """Objects `{key: …}` of all JSON files of a folder: the key's value, file, block and line, which
     order the objects.
 
     A file holds one object per line, which lets Spark split it, or one object or array of objects over
-    several lines. Which of them it is, is found file by file; a damaged file raises when it is read.
+    several lines. Every line is read as text and tried; a file with a line that is no object by itself is put
+    together again from its lines, by their places, and read as a whole in its own row. Files are told apart by joins on
+    their names, and no list of them is made outside Spark. A damaged file raises when it is read.
     """
-    reader = spark.read.option("pathGlobFilter", "*.json")
-    order = [
+    lines = spark.read.option("pathGlobFilter", pattern).text(path).select(
+        "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
-    ]
-    schema = f"{key} {kind}, _broken string"
-    lines = reader.schema(schema).option("columnNameOfCorruptRecord", "_broken").json(path)
-    lines = lines.select(key, "_broken", *order)
-    first = F.min_by("_broken", F.when(F.col("_broken").isNotNull(), F.struct("block", "line")))
-    seen = lines.groupBy("file").agg(first.alias("broken"), F.count_if(F.col(key).isNotNull()).alias("whole"))
-    odd = seen.filter("broken is not null").collect()  # a row per file, of those that are not line by line
-    if damaged := [r["file"] for r in odd if r["whole"] and not r["broken"].lstrip().startswith("[")]:
-        raise SourceError(f"objects and damaged lines in {damaged[:5]}")
-    found = lines.drop("_broken")
-    if odd:
-        files = [r["file"] for r in odd]
-        several = spark.read.option("multiLine", True).option("mode", "FAILFAST").schema(f"{key} {kind}")
-        found = found.filter(~F.col("file").isin(files)).unionByName(several.json(files).select(key, *order))
-    return found
-
-
-def read_text_items(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    )
+    schema = f"array<struct<{key}: {kind}>>"
+    lines = lines.filter(F.trim("value") != "").withColumn("found", F.from_json("value", schema))
+    broken = F.col("found").isNull()
+    first = F.min_by("value", F.when(broken, F.struct("block", "line")))
+    whole = F.count_if(F.exists("found", lambda x: x[key].isNotNull()))
+    odd = lines.groupBy("file").agg(first.alias("broken"), whole.alias("whole")).filter("broken is not null")
+    if odd.isEmpty():
+        return lines.select(F.inline("found"), "file", "block", "line")
+    odd = runtime.materialise(odd.select("file", ((F.col("whole") > 0) & ~F.startswith(F.ltrim("broken"), F.lit("["))).alias("damaged")), "files")
+    by_line = lines.join(odd, "file", "left_anti").select(F.inline("found"), "file", "block", "line")
+    parts = lines.join(odd, "file").groupBy("file", "damaged").agg(
+        F.sort_array(F.collect_list(F.struct("block", "line", "value"))).alias("parts")
+    )
+    text = F.when(F.col("damaged"), F.raise_error(F.concat(F.lit("objects and damaged lines in "), "file"))).otherwise(
+        F.array_join(F.transform("parts", lambda p: p["value"]), "\n")
+    )
+    objects = F.from_json(text, schema, {"mode": "FAILFAST"})
+    several = parts.select(F.posexplode(objects).alias("at", "object"), "file").select(
+        f"object.{key}", "file", F.lit(0).cast("long").alias("block"), F.col("at").cast("long").alias("line")
+    )
+    return by_line.unionByName(several)
+
+
+def read_text_items(spark: SparkSession, path: str, strict: bool = True, pattern: str = "*.json") -> DataFrame:
     """Posts kept as `{"TextItem": {id: [comment, …]}}`: one row (id, texts) per id and object.
 
     The ids are map keys and not columns, so their number, their case and repeated ids do not
     matter. A value may be a list or a single value, which becomes a string. A folder without any
     `TextItem` raises, or is returned as it is with `strict=False`.
     """
-    raw = read_objects(spark, path, "TextItem", "map<string, variant>")
+    raw = read_objects(spark, path, "TextItem", "map<string, variant>", pattern)
     items = raw.filter(F.col("TextItem").isNotNull())
     if items.isEmpty() and not raw.isEmpty():
         if strict:
             raise SourceError(f"no TextItem object in the JSON files of {path}")
-        return spark.read.option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
+        return spark.read.option("multiLine", True).option("pathGlobFilter", pattern).json(path)
     many = F.try_variant_get("value", "$", "array<string>")
     one = F.array_compact(F.array(F.try_variant_get("value", "$", "string")))
     listed = F.startswith(F.schema_of_variant("value"), F.lit("ARRAY"))

@@ -124,6 +124,20 @@ def scan_social_json(spark, sf):
     return tables.social_posts(readers.read_text_items(spark, path))
 
 
+def scan_social_multiline(spark, sf):
+    """All comments as objects over several lines, a thousand conversations or so in a file."""
+    path = runtime.scratch_path(spark, "social-objects")
+    rows = chunks(spark, sf)
+    files = max(1, rows.count() // 1000)
+    placed = rows.withColumn("file", F.pmod(F.xxhash64("id"), F.lit(files)))
+    entries = F.collect_list(F.struct(F.concat("id", F.lit("#"), F.lpad("chunk", 9, "0")), "texts"))
+    objects = placed.groupBy("file").agg(F.map_from_entries(entries).alias("TextItem"))
+    text = F.to_json(F.struct("TextItem"), {"pretty": "true"}).alias("value")
+    objects.select(text, "file").write.partitionBy("file").text(path)
+    posts = tables.social_posts(readers.read_text_items(spark, path, pattern="*.txt"))
+    return posts.select(F.regexp_extract("id", "^(.*)#", 1).alias("id"), "text")
+
+
 def scan_catalog_json(spark, sf):
     path = runtime.scratch_path(spark, "catalog-json")
     parts = table(spark, sf, "part").select(
@@ -560,7 +574,7 @@ def stream_mention_map(spark, sf):
 
 
 QUERIES = [
-    scan_social_json, scan_catalog_json, scan_reviews_csv, html_blocks, html_blocks_nested,
+    scan_social_json, scan_social_multiline, scan_catalog_json, scan_reviews_csv, html_blocks, html_blocks_nested,
     explode_comments, sink_roundtrip, group_comments, table_sentiment_ecommerce, table_sentiment_social,
     period_partitioned, unpivot_posts, array_text_normalise, drop_blank_text, valid_products, valid_posts,
     clean_reviews, keyword_search, strip_html, strip_urls, normalise_names, tokenise, filter_tokens,

@@ -207,6 +207,8 @@ FROM held_out JOIN scored USING (doc_id) GROUP BY ALL"""
 SQL = {
     "scan_social_json": "SELECT CAST(conv_id AS VARCHAR) AS id, string_agg(text, ' ' ORDER BY turn) AS text "
     "FROM conversations GROUP BY conv_id",
+    "scan_social_multiline": "SELECT CAST(conv_id AS VARCHAR) AS id, string_agg(text, ' ' ORDER BY turn) AS text "
+    "FROM conversations GROUP BY conv_id",
     "scan_catalog_json": "SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, "
     "p_type AS product_category, p_retailprice AS price FROM part",
     "scan_reviews_csv": "SELECT CAST(doc_id AS VARCHAR) AS product_id, source AS product_name, "

@@ -188,6 +188,54 @@ def test_a_write_that_loses_rows_raises(spark, tmp_path, monkeypatch):
         sinks.write_parquet(spark.range(5), str(tmp_path / "t"))
 
 
+def lose_a_file(folder, pattern):
+    victim = sorted(folder.glob(pattern))[0]
+    victim.unlink()
+
+
+def test_a_lost_file_is_found(spark, tmp_path):
+    df = spark.range(100).repartition(3)
+    back = sinks.write_parquet(df, str(tmp_path / "p"))
+    sinks.check_manifest(spark, str(tmp_path / "p"), back)
+    lose_a_file(tmp_path / "p", "part-*")
+    with pytest.raises(sinks.WriteError, match="lacks"):
+        sinks.check_manifest(spark, str(tmp_path / "p"), spark.read.parquet(str(tmp_path / "p")))
+
+    back = sinks.write_by_period(df.withColumn("period", F.col("id") % 2), str(tmp_path / "d"))
+    sinks.check_manifest(spark, str(tmp_path / "d"), back)
+    lose_a_file(tmp_path / "d", "period=1/part-*")
+    with pytest.raises(sinks.WriteError, match="lacks"):
+        sinks.check_manifest(spark, str(tmp_path / "d"), spark.read.parquet(str(tmp_path / "d")))
+
+    comments = spark.createDataFrame([(str(i), 0, f"t{i}") for i in range(20)], "id string, pos int, text string")
+    items = spark.createDataFrame([(str(i), "n", "c", 1.0) for i in range(20)], "product_id string, product_name string, product_category string, price double")
+    for name, write, rows in (("t", sinks.write_text_items, comments), ("c", sinks.write_catalog, items)):
+        path = tmp_path / name
+        write(rows, str(path))
+        sinks.check_manifest(spark, str(path), spark.read.text(str(path)))
+        lose_a_file(path, "part-*")
+        with pytest.raises(sinks.WriteError, match="lacks"):
+            sinks.check_manifest(spark, str(path), spark.read.option("pathGlobFilter", "*.json").text(str(path)))
+
+
+def test_a_failed_write_leaves_the_old_table(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.write_parquet(spark.range(3), path)
+    monkeypatch.setattr(sinks.F, "count", lambda c: F.sum(F.lit(2)))
+    for write in (sinks.write_parquet, lambda df, p: sinks.write_by_period(df.withColumn("period", F.lit(1)), p)):
+        with pytest.raises(sinks.WriteError):
+            write(spark.range(5), path)
+    assert rows(spark.read.parquet(path)) == [(0,), (1,), (2,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_many_files_of_several_lines(spark, rows, tmp_path):
+    files = {f"f{i}": json.dumps({"TextItem": {f"r{i}": ["a", str(i)]}}, indent=2) for i in range(12)}
+    files["lines"] = '{"TextItem": {"x": ["1"]}}\n\n{"TextItem": {"y": ["2"]}}\n'
+    path = put_all(tmp_path / "x", **files)
+    assert rows(posts(spark, path)) == sorted([(f"r{i}", f"a {i}") for i in range(12)] + [("x", "1"), ("y", "2")], key=repr)
+
+
 def test_a_period_replaces_only_itself(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_by_period(spark.createDataFrame([(1, "2024-01"), (2, "2024-02")], "v int, period string"), path)
