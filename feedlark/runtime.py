@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +74,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Store what `build` returns, and delete all that was stored on the way to it."""
+    path = scratch_path(spark, label)
+    with scratch_scope(spark):
+        found = build()
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
 def tasks_of(spark: SparkSession) -> int:
     """Tasks of a stage whose work cannot be told from the size of its input."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
