@@ -151,9 +151,12 @@ def dedup_lines(
     docs, names = shield(docs.select("*", F.col(key).alias("__key"), F.col(text).alias("__text")), "__key", "__text")
     key, text = "__key", "__text"
     stored = store_rows(docs)
-    candidates = repeated_windows(window_table(stored, key, text, passage))
-    later = both_ways(candidates, stored, key, text, passage) if both_sides else later_windows(candidates)
-    gone = runtime.materialise(runs_of(later), "runs")
+
+    def deleted_lines() -> DataFrame:
+        candidates = repeated_windows(window_table(stored, key, text, passage))
+        return runs_of(both_ways(candidates, stored, key, text, passage) if both_sides else later_windows(candidates))
+
+    gone = runtime.settle(docs.sparkSession, deleted_lines, "runs")
     few = (gone.agg(F.sum(F.size("deleted") + 1)).first()[0] or 0) <= MOST_DELETED
     told = stored.join(F.broadcast(gone) if few else gone, "row", "left")
     lines = F.split(F.col(text), "\n", -1)

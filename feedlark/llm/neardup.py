@@ -389,6 +389,10 @@ def keep_one(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, share: tuple[int, int] = SHARE
 ) -> DataFrame:
     """The rows of `docs` that stay: of each group of near copies the document of the smallest id."""
-    judged = near_duplicates(docs, key, text, shingle, share)
-    gone = runtime.materialise(judged.filter("not kept").select(F.col("doc").alias("__gone")).distinct(), "gone")
+
+    def lost() -> DataFrame:
+        judged = near_duplicates(docs, key, text, shingle, share)
+        return judged.filter("not kept").select(F.col("doc").alias("__gone")).distinct()
+
+    gone = runtime.settle(docs.sparkSession, lost, "gone")
     return docs.join(gone, docs[key].cast("long") == gone["__gone"], "left_anti")
