@@ -148,8 +148,8 @@ def dedup_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", passage: int = PASSAGE, both_sides: bool = False
 ) -> DataFrame:
     """`docs` with n_lines, n_deleted, deleted (places of lines, from 0) and kept_text."""
-    docs, names = shield(docs.select("*", F.col(key).alias("__key"), F.col(text).alias("__text")), "__key", "__text")
-    key, text = "__key", "__text"
+    docs, names = shield(docs)  # each column is stored once
+    key, text = names[key], names[text]
     stored = store_rows(docs)
 
     def deleted_lines() -> DataFrame:
