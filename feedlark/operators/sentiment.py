@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
@@ -62,6 +63,53 @@ def reply_error(status: Column | str, body: Column | str, exception: Column | st
     )
 
 
+def _failed(reply: Reply) -> bool:
+    """Would the label of this reply be an `ERROR_…`?"""
+    status, body, exception = reply
+    if exception is not None or status != 200 or body is None:
+        return True
+    try:
+        json.loads(body)
+    except ValueError:
+        return True
+    return False
+
+
+def with_retries(
+    send: Callable[[list[str]], list[Reply]], retries: int, pause: float
+) -> Callable[[list[str]], list[Reply]]:
+    """`send`, which asks up to `retries` times more for the texts that failed, and for no others; the pause
+    before is `pause` seconds, and twice as long each time."""
+
+    def ask(texts: list[str]) -> list[Reply]:
+        replies = list(send(texts))
+        for turn in range(retries):
+            again = [i for i, reply in enumerate(replies) if _failed(reply)]
+            if not again:
+                break
+            time.sleep(pause * 2**turn)
+            for i, reply in zip(again, send([texts[i] for i in again])):
+                replies[i] = reply
+        return replies
+
+    return ask
+
+
+REPLY_FIELDS = "status int, body string, exception string"
+
+
+def _known_replies(texts: DataFrame, store: str) -> DataFrame:
+    """(text_key, copies, status, body, exception) of the texts that the store has a reply for. Runs that wrote at
+    the same time may have left two replies for a text; the least counts."""
+    spark = texts.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], f"text_key binary, copies long, {REPLY_FIELDS}")
+    kept = spark.read.schema(f"text_key binary, {REPLY_FIELDS}").parquet(store)
+    kept = kept.groupBy("text_key").agg(F.min(F.struct("status", "body", "exception")).alias("reply"))
+    return texts.select("text_key", "copies").join(kept, "text_key").select("text_key", "copies", "reply.*")
+
+
 def score_texts(
     df: DataFrame,
     text: str,
@@ -69,20 +117,28 @@ def score_texts(
     label: str = "sentiment",
     concurrency: int | None = None,
     hot_rows: int = runtime.HOT_ROWS,
+    store: str | None = None,
+    waves: int = 1,
+    retries: int = 0,
+    pause: float = 1.0,
 ) -> DataFrame:
     """Add `label` and `error` from a batch scorer.
 
     `scorer()` is called once per task and returns a function from a list of texts to replies.
-    Equal texts are sent once; `concurrency` limits the tasks that talk to the scorer. Replies are
-    stored before they are used, so a lost executor does not repeat the finished calls.
+    Equal texts are sent once; `concurrency` limits the tasks that talk to the scorer. Failed calls are
+    repeated up to `retries` times within the task. Replies are stored before they are used, so a lost
+    executor does not repeat the finished calls.
+
+    `store` names a folder of replies by text that outlives the run: texts with a reply there are not
+    sent, and replies other than failures are added to it. Texts are sent in `waves` (by their key), each
+    added before the next begins, so a run that breaks off loses the replies of one wave at most.
+    A failure stays a value of this run, and is asked again by the next. A store belongs to one scorer.
     """
     texts = df.groupBy(F.col(text).alias("text")).agg(F.count(F.lit(1)).alias("copies"))
     texts = texts.withColumn("text_key", text_key("text")).filter("text_key IS NOT NULL")
-    if concurrency:
-        texts = texts.repartition(concurrency, "text_key")
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        send = scorer()
+        send = with_retries(scorer(), retries, pause)
         for frame in frames:
             replies = send(frame["text"].tolist())
             out = pd.DataFrame(replies, columns=["status", "body", "exception"], dtype=object)
@@ -90,9 +146,24 @@ def score_texts(
             out.insert(0, "text_key", frame["text_key"].to_numpy())
             yield out
 
-    schema = "text_key binary, copies long, status int, body string, exception string"
-    replies = texts.mapInPandas(ask, schema)
+    def sent(some: DataFrame) -> DataFrame:
+        some = some.repartition(concurrency, "text_key") if concurrency else some
+        return some.mapInPandas(ask, f"text_key binary, copies long, {REPLY_FIELDS}")
+
     reply = ("status", "body", "exception")
+    if store is None:
+        replies = sent(texts)
+    else:
+        texts = runtime.materialise(texts, "texts")
+        replies = runtime.materialise(_known_replies(texts, store), "known")
+        # keys are distinct on both sides, so no task gets more than its share
+        new = texts.join(replies.select("text_key"), "text_key", "left_anti")
+        for wave in range(waves):
+            mine = F.pmod(F.xxhash64("text_key"), F.lit(waves)) == wave
+            asked = runtime.materialise(sent(new.filter(mine)), "replies")
+            good = asked.filter(~reply_label(*reply).startswith("ERROR_"))
+            good.select("text_key", *reply).write.mode("append").parquet(store)
+            replies = replies.unionByName(asked)
     replies = replies.select(
         "text_key", "copies", reply_label(*reply).alias(label), reply_error(*reply).alias("error")
     )

@@ -47,6 +47,87 @@ def test_each_text_is_scored_once(spark, rows, tmp_path, hot_rows):
     assert sent == {"same": 1, "other": 1}
 
 
+def counting_scorer(log, bad=(), broken=()):
+    """Every text that is sent leaves a line; `bad` ones fail, and a `broken` one ends the job."""
+
+    def scorer():
+        def send(texts):
+            import uuid
+
+            if set(broken) & set(texts):
+                raise RuntimeError("service gone")
+            with open(f"{log}/{uuid.uuid4().hex}", "w") as f:
+                f.write("\n".join(texts))
+            return [(503, None, None) if t in bad else (200, '{"sentiment": "%s"}' % t.upper(), None) for t in texts]
+
+        return send
+
+    return scorer
+
+
+def sent_texts(folder):
+    return Counter(x for p in folder.iterdir() for x in p.read_text().split())
+
+
+@pytest.mark.parametrize("waves", [1, 3])
+def test_replies_outlive_a_run(spark, rows, tmp_path, waves):
+    logs = [tmp_path / f"log{i}" for i in range(4)]
+    for log in logs:
+        log.mkdir()
+    store = str(tmp_path / "store")
+    texts = [f"t{i}" for i in range(12)]
+    df = spark.createDataFrame([(i, texts[i % 12]) for i in range(40)] + [(99, None)], "i int, t string")
+
+    def run(log, bad=(), frame=df):
+        got = S.score_texts(frame, "t", counting_scorer(str(log), bad), concurrency=2, store=store, waves=waves)
+        return rows(got.select("i", "sentiment", "error"))
+
+    want = lambda bad: sorted(
+        [(i, "ERROR_503" if texts[i % 12] in bad else f"T{i % 12}", "503" if texts[i % 12] in bad else None) for i in range(40)]
+        + [(99, None, None)], key=repr)
+    assert run(logs[0], bad=("t3", "t7")) == want(("t3", "t7"))
+    assert sent_texts(logs[0]) == Counter(texts)
+    assert run(logs[1]) == want(())  # the failed ones only
+    assert sent_texts(logs[1]) == Counter(["t3", "t7"])
+    assert run(logs[2]) == want(())  # none
+    assert sent_texts(logs[2]) == Counter()
+    more = df.union(spark.createDataFrame([(100, "new")], df.schema))
+    assert (100, "NEW", None) in run(logs[3], frame=more)
+    assert sent_texts(logs[3]) == Counter(["new"])
+    empty = spark.createDataFrame([], df.schema)
+    assert run(logs[3], frame=empty) == []
+
+
+def test_a_broken_run_keeps_its_finished_waves(spark, rows, tmp_path):
+    logs = [tmp_path / "log0", tmp_path / "log1"]
+    for log in logs:
+        log.mkdir()
+    texts, waves, store = [f"t{i}" for i in range(20)], 4, str(tmp_path / "store")
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    wave = F.pmod(F.xxhash64(S.text_key("t")), F.lit(waves)).alias("w")
+    of = {r.t: r.w for r in df.select("t", wave).collect()}
+    last = next(t for t in texts if of[t] == 2)
+    with pytest.raises(Exception, match="service gone"):
+        S.score_texts(df, "t", counting_scorer(str(logs[0]), broken=(last,)), concurrency=1, store=store, waves=waves)
+    got = S.score_texts(df, "t", counting_scorer(str(logs[1])), store=store, waves=waves)
+    assert rows(got.select("t", "sentiment")) == sorted([(t, t.upper()) for t in texts], key=repr)
+    assert sent_texts(logs[1]) == Counter(t for t in texts if of[t] >= 2)
+
+
+def test_only_failures_are_asked_again(monkeypatch):
+    calls, slept = [], []
+    monkeypatch.setattr(S.time, "sleep", slept.append)
+    ok, down = (200, '{"sentiment": "neutral"}', None), (503, None, None)
+    turns = [{"a": ok, "b": down, "c": (200, "no JSON", None), "d": (200, "{}", None)}, {"b": (None, None, "x"), "c": ok}, {"b": ok}]
+
+    def send(texts):
+        calls.append(texts)
+        return [turns[len(calls) - 1][t] for t in texts]
+
+    assert S.with_retries(send, 5, 0.5)(["a", "b", "c", "d"]) == [ok, ok, ok, (200, "{}", None)]
+    assert calls == [["a", "b", "c", "d"], ["b", "c"], ["b"]] and slept == [0.5, 1.0]
+
+
 def test_http_scorer(monkeypatch):
     class Answer(io.BytesIO):
         status = 200
