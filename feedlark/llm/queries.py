@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +84,8 @@ def op4_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers  # names the vocabulary files; no other query needs it
+
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.with_round_trip(docs, public_tokenizers.path(BPE_FILE)).drop("text")
 
