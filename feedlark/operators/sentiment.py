@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.functions.text import text_key
+from feedlark.functions.text import text_key, with_term_counts
 from feedlark.operators.texts import attach, distinct_texts, long_tokens, text_words
 from feedlark.schemas import LABELS
 
@@ -211,19 +211,22 @@ def train_bayes(df: DataFrame, text: str, label: str, labels: tuple[str, ...] =
     )
 
 
+def _known_words(words: DataFrame, terms: DataFrame, hot_rows: int) -> DataFrame:
+    """The words that `terms` has, with its columns; a large model is shuffled, its hot terms are broadcast."""
+    if terms.limit(MODEL_ROWS + 1).count() <= MODEL_ROWS:
+        return words.join(F.broadcast(terms), "term")
+    load = words.groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
+    sized = runtime.materialise(terms.join(load, "term"), "sized")
+    return runtime.hot_key_join(words, sized, "term", "rows", hot_rows, "inner")
+
+
 def bayes_scores(texts: DataFrame, model: BayesModel, hot_rows: int = runtime.HOT_ROWS) -> DataFrame:
     """(text_key, copies, sentiment, one score per label) of each distinct text.
 
     Words that the model does not know are left out. Scores are rounded to 6 decimals; equal scores
     go to the first label by name.
     """
-    words = text_words(texts)
-    if model.terms.limit(MODEL_ROWS + 1).count() <= MODEL_ROWS:
-        known = words.join(F.broadcast(model.terms), "term")
-    else:
-        load = words.groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
-        sized = runtime.materialise(model.terms.join(load, "term"), "sized")
-        known = runtime.hot_key_join(words, sized, "term", "rows", hot_rows, "inner")
+    known = _known_words(text_words(texts), model.terms, hot_rows)
     sums = known.groupBy("text_key").agg(
         F.sum("tf").alias("_n"), *[F.sum(F.col("tf") * F.col(x)).alias(x) for x in model.labels]
     )
@@ -260,6 +263,90 @@ def bayes_label(
     return attach(df, text, scores.withColumnRenamed("sentiment", label), hot_rows)
 
 
+def cross_label(
+    df: DataFrame,
+    text: str,
+    label: str,
+    fold: str,
+    folds: int,
+    out: str = "sentiment",
+    labels: tuple[str, ...] = LABELS,
+    hot_rows: int = runtime.HOT_ROWS,
+) -> DataFrame:
+    """Add `out` to every row: the naive Bayes label by the model of the rows of all other folds.
+
+    `fold` holds numbers from 0 to `folds` - 1. Each distinct text is cut into words once and carries how
+    many of its rows lie in each fold under each label. So one aggregate counts the terms of all folds,
+    a fold's model is the total less the fold's own counts, and one join scores a text by all models.
+
+    Rows without a label are labelled, but not learnt from. A row whose fold is null or out of range is
+    neither; nor is a row labelled if no other fold has a label. Copies of a text may lie in several folds,
+    and then a model may have seen the words of a row it labels.
+    """
+    if folds < 2:
+        raise ValueError("at least two folds are needed")
+    cells = [(f, x) for f in range(folds) for x in labels]
+    rows_of = [F.count_if((F.col(fold) == f) & (F.col(label) == x)) for f, x in cells]
+    texts = df.groupBy(F.col(text).alias("text")).agg(
+        F.count(F.lit(1)).alias("copies"), F.array(*rows_of).alias("cells")
+    )
+    texts = texts.select(
+        text_key("text").alias("text_key"), "copies", "cells", F.sort_array(long_tokens("text")).alias("tokens")
+    )
+    texts = runtime.materialise(with_term_counts(texts, "tokens"), "texts")
+    words = texts.select("text_key", "copies", "cells", F.inline("bag"))
+
+    name = {cell: f"c{i}" for i, cell in enumerate(cells)}
+    add_up = lambda factor: [
+        F.sum(factor * F.col("cells")[i]).alias(name[cell]) for i, cell in enumerate(cells)
+    ]
+    own = words.filter(F.exists("cells", lambda n: n > 0)).groupBy("term").agg(*add_up(F.col("tf")))
+    everywhere = {x: sum((F.col(name[f, x]) for f in range(folds)), F.lit(0)) for x in labels}
+    # the columns of a term from here on: its count under a label in all folds but one
+    others = runtime.materialise(
+        own.select("term", *[(everywhere[x] - F.col(name[f, x])).alias(name[f, x]) for f, x in cells]), "model"
+    )
+
+    docs = texts.agg(*add_up(F.lit(1))).first()
+    n_docs = {cell: sum(docs[name[g, cell[1]]] or 0 for g in range(folds) if g != cell[0]) for cell in cells}
+    all_docs = {f: sum(n_docs[f, x] for x in labels) for f in range(folds)}
+    if not sum(all_docs.values()):
+        raise ValueError("no row in a fold has a label to train from")
+    used = {f: sorted(x for x in labels if n_docs[f, x]) for f in range(folds) if all_docs[f]}
+    in_model = {f: sum((F.col(name[f, x]) for x in labels), F.lit(0)) > 0 for f in used}
+    totals = others.agg(
+        *[F.count_if(in_model[f]).alias(f"n{f}") for f in used],
+        *[F.coalesce(F.sum(name[f, x]), F.lit(0)).alias(name[f, x]) for f in used for x in used[f]],
+    )
+    ln = lambda n: F.ln(F.lit(n).cast("double"))
+    logs = totals.select(
+        *[F.ln(F.col(name[f, x]) + F.col(f"n{f}")).alias(f"t_{name[f, x]}") for f in used for x in used[f]],
+        *[(ln(n_docs[f, x]) - ln(all_docs[f])).alias(f"p_{name[f, x]}") for f in used for x in used[f]],
+    ).first()
+
+    sums = _known_words(words.drop("cells"), others, hot_rows).groupBy("text_key").agg(
+        *[F.sum(F.when(in_model[f], F.col("tf"))).alias(f"n{f}") for f in used],
+        *[F.sum(F.when(in_model[f], F.col("tf") * F.ln(F.col(name[f, x]) + 1.0))).alias(name[f, x])
+          for f in used for x in used[f]],
+    )
+
+    def best_label(f: int) -> Column:
+        n = F.coalesce(f"n{f}", F.lit(0))
+        scores = [
+            F.round(logs[f"p_{c}"] + F.coalesce(c, F.lit(0.0)) - n * logs[f"t_{c}"], 6)
+            if logs[f"t_{c}"] is not None else F.lit(logs[f"p_{c}"])  # a model without a word: n is 0
+            for c in (name[f, x] for x in used[f])
+        ]
+        best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+        return F.coalesce(*[F.when(score == best, F.lit(x)) for x, score in zip(used[f], scores)])
+
+    by_fold = [best_label(f) if f in used else F.lit(None).cast("string") for f in range(folds)]
+    results = texts.select("text_key", "copies").join(sums, "text_key", "left")
+    results = results.select("text_key", "copies", F.array(*by_fold).alias("_by_fold"))
+    place = F.when((F.col(fold) >= 0) & (F.col(fold) < folds), F.col(fold).cast("int"))
+    return attach(df, text, results, hot_rows).withColumn(out, F.col("_by_fold")[place]).drop("_by_fold")
+
+
 def ecommerce_table(scored: DataFrame) -> DataFrame:
     """The stored review table: human and model label side by side. `scored` has the cleaned review
     columns, the human `sentiment` and the model's `sentiment_api`."""

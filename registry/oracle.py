@@ -104,12 +104,10 @@ TURNS = f"SELECT conv_id * 1000000 + turn AS id, {clean('text', 'social')} AS tx
 DOCUMENT_NAMES = f"SELECT doc_id AS id, {clean('text', 'product')} AS txt FROM documents"
 
 
-def train(rows: str = "true") -> str:
-    """Naive Bayes trained on the labelled documents that fulfil `rows`."""
-    return f"""
-gold_all AS MATERIALIZED (
+# naive Bayes trained on all labelled documents
+TRAIN = f"""
+gold AS MATERIALIZED (
   SELECT doc_id, {HUMAN} AS human, {clean('text', 'review')} AS clean FROM documents JOIN labels USING (doc_id)),
-gold AS (SELECT * FROM gold_all WHERE {rows}),
 gold_terms AS MATERIALIZED (
   SELECT term, {', '.join(f"count(*) FILTER (human = '{x}') AS {x}" for x in LABELS)}
   FROM (SELECT human, unnest(list_filter(string_split(clean, ' '), lambda x: length(x) >= 3)) AS term FROM gold)
@@ -120,7 +118,8 @@ priors AS (
   FROM gold)"""
 
 
-TRAIN = train()
+GREATEST = "greatest(" + ", ".join(LABELS) + ")"
+BEST_LABEL = "CASE " + " ".join(f"WHEN {x} = {GREATEST} THEN '{x}'" for x in LABELS) + " END"
 
 
 def bayes(source: str, key: str, text: str) -> str:
@@ -129,8 +128,6 @@ def bayes(source: str, key: str, text: str) -> str:
     scores = ", ".join(
         f"round(p_{x} + coalesce({x}, 0.0) - coalesce(n_words, 0) * t_{x}, 6) AS {x}" for x in LABELS
     )
-    best = "greatest(" + ", ".join(LABELS) + ")"
-    label = "CASE " + " ".join(f"WHEN {x} = {best} THEN '{x}'" for x in LABELS) + " END"
     return f"""
 bag AS (
   SELECT {key}, term, count(*) AS tf
@@ -138,7 +135,7 @@ bag AS (
   GROUP BY ALL),
 hits AS (SELECT {key}, sum(tf) AS n_words, {sums} FROM bag JOIN gold_terms USING (term) GROUP BY {key}),
 scores AS (SELECT s.{key}, {scores} FROM {source} s LEFT JOIN hits USING ({key}), gold_sums, priors),
-scored AS (SELECT {key}, {label} AS sentiment, {', '.join(LABELS)} FROM scores)"""
+scored AS (SELECT {key}, {BEST_LABEL} AS sentiment, {', '.join(LABELS)} FROM scores)"""
 
 
 REVIEWS = f"""
@@ -198,11 +195,31 @@ new_best AS (
 
 FAKE_LABEL = f"""CASE length(text) % 3 WHEN 0 THEN '{LABELS[0]}' WHEN 1 THEN '{LABELS[1]}' ELSE '{LABELS[2]}' END"""
 
+TERM_COUNTS = ", ".join(f"count(*) FILTER (human = '{x}') AS {x}" for x in LABELS)
+
+# a model for each fold, trained on the rows of the others
 CONFUSION = f"""
-WITH {train(f'doc_id % {FOLDS} <> 0')},
-held_out AS (SELECT * FROM gold_all WHERE doc_id % {FOLDS} = 0), {bayes('held_out', 'doc_id', 'clean')}
-SELECT human AS human_label, sentiment AS model_label, count(*) AS row_count
-FROM held_out JOIN scored USING (doc_id) GROUP BY ALL"""
+WITH gold AS MATERIALIZED (
+  SELECT doc_id, doc_id % {FOLDS} AS fold, {HUMAN} AS human, {clean('text', 'review')} AS clean
+  FROM documents JOIN labels USING (doc_id)),
+folds AS (SELECT range AS held FROM range({FOLDS})),
+words AS MATERIALIZED (
+  SELECT doc_id, fold, human, unnest(list_filter(string_split(clean, ' '), lambda x: length(x) >= 3)) AS term FROM gold),
+models AS MATERIALIZED (
+  SELECT held, term, {TERM_COUNTS} FROM folds JOIN words ON fold <> held GROUP BY held, term),
+sums AS (
+  SELECT held, {', '.join(f"ln(sum({x}) + count(*)) AS t_{x}" for x in LABELS)} FROM models GROUP BY held),
+priors AS (
+  SELECT held, {', '.join(f"ln(count(*) FILTER (human = '{x}')::DOUBLE) - ln(count(*)::DOUBLE) AS p_{x}" for x in LABELS)}
+  FROM folds JOIN gold ON fold <> held GROUP BY held),
+bag AS (SELECT doc_id, fold AS held, term, count(*) AS tf FROM words GROUP BY ALL),
+hits AS (
+  SELECT doc_id, sum(tf) AS n_words, {', '.join(f"sum(tf * ln({x} + 1.0)) AS {x}" for x in LABELS)}
+  FROM bag JOIN models USING (held, term) GROUP BY doc_id),
+scores AS (
+  SELECT human, {', '.join(f"round(p_{x} + coalesce({x}, 0.0) - coalesce(n_words, 0) * t_{x}, 6) AS {x}" for x in LABELS)}
+  FROM gold JOIN sums ON sums.held = fold JOIN priors ON priors.held = fold LEFT JOIN hits USING (doc_id))
+SELECT human AS human_label, {BEST_LABEL} AS model_label, count(*) AS row_count FROM scores GROUP BY ALL"""
 
 SQL = {
     "scan_social_json": "SELECT CAST(conv_id AS VARCHAR) AS id, string_agg(text, ' ' ORDER BY turn) AS text "

@@ -202,3 +202,42 @@ def test_training_without_labels_says_so(spark):
     df = spark.createDataFrame([("a b c", None)], "clean string, human string")
     with pytest.raises(ValueError, match="label"):
         S.train_bayes(df, "clean", "human")
+
+
+@pytest.mark.parametrize("model_rows, hot_rows", [(500_000, 1_000_000), (0, 1)])
+def test_cross_label_is_a_model_for_each_fold(spark, monkeypatch, model_rows, hot_rows):
+    monkeypatch.setattr(S, "MODEL_ROWS", model_rows)
+    words = "good bad phone case slow fast box cable".split()
+    data = [
+        (i, i % 4, " ".join(words[(i * j + i // 5) % 8] for j in range(1, 2 + i % 5)), ("negative", "neutral", "positive")[i * i % 3])
+        for i in range(60)
+    ]
+    data += [(60, 0, "good phone", None), (61, 1, None, "positive"), (62, 2, "", "negative"), (63, None, "bad", "negative"),
+             (64, 9, "bad", "negative"), (65, 3, "bad bad bad", "negative"), (66, 3, "only here", "neutral")]
+    df = spark.createDataFrame(data, "i int, fold int, t string, y string")
+    got = {r.i: r.sentiment for r in S.cross_label(df, "t", "y", "fold", 4, hot_rows=hot_rows).collect()}
+    want = dict.fromkeys([63, 64])
+    for f in range(4):
+        model = S.train_bayes(df.filter(f"fold BETWEEN 0 AND 3 AND fold <> {f} AND y IS NOT NULL"), "t", "y")
+        want |= {r.i: r.sentiment for r in S.bayes_label(df.filter(f"fold = {f}"), "t", model).collect()}
+    assert got == want and len(set(got.values())) > 2
+
+
+def test_cross_label_with_too_few_labels(spark):
+    df = lambda *rows: spark.createDataFrame(rows, "t string, y string, fold int")
+    with pytest.raises(ValueError, match="label"):
+        S.cross_label(df(("a b c", None, 0)), "t", "y", "fold", 2)
+    with pytest.raises(ValueError, match="folds"):
+        S.cross_label(df(("abc", "positive", 0)), "t", "y", "fold", 1)
+    got = S.cross_label(df(("abc", "positive", 0)), "t", "y", "fold", 2).collect()
+    assert [r.sentiment for r in got] == [None]
+    got = S.cross_label(df(("abc", "positive", 0), ("abc", None, 1), (None, "negative", 0)), "t", "y", "fold", 2).collect()
+    assert sorted((r.fold, str(r.t), r.sentiment) for r in got) == [(0, "None", None), (0, "abc", None), (1, "abc", "negative")]
+
+
+def test_cross_label_counts_words_once(spark, capsys):
+    df = spark.createDataFrame([("abc def", "positive", i) for i in range(3)], "t string, y string, fold int")
+    S.cross_label(df, "t", "y", "fold", 3).explain()
+    plan = capsys.readouterr().out
+    # the words of a text are cut when texts are stored, not once for each fold
+    assert "regexp" not in plan and "split" not in plan
