@@ -72,11 +72,13 @@ def explode_comments(items: DataFrame) -> DataFrame:
 def group_comments(comments: DataFrame, chunk_rows: int = 1_000) -> DataFrame:
     """(id, pos, text) -> (id, chunk, texts): comments in order, at most `chunk_rows` in a list.
 
-    `pos` is the place of a comment within its id. The chunks keep an id with a large share of all
-    comments from becoming one row.
+    `pos` orders the comments of an id; it may be sparse, repeat or be null (nulls come first). Lists are
+    cut by the place in that order, so no id becomes one row, whatever its share of all comments is and
+    whatever `pos` holds. Null texts are kept; rows without an id are a group of their own.
     """
-    chunk = F.floor(F.col("pos") / chunk_rows).alias("chunk")
-    lists = comments.groupBy("id", chunk).agg(
+    rows = place_within(comments.select("id", "pos", "text"), "id", "pos", F.xxhash64("text"), name="place")
+    chunk = F.floor((F.col("place") - 1) / chunk_rows).alias("chunk")
+    lists = rows.groupBy("id", chunk).agg(
         F.sort_array(F.collect_list(F.struct("pos", "text"))).alias("items")
     )
     return lists.select("id", "chunk", F.col("items.text").alias("texts"))
@@ -113,26 +115,53 @@ def sample_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def number_rows(df: DataFrame, *order: str, name: str = "review_id") -> DataFrame:
-    """Number all rows from 1 in a given order without sorting them in one task.
+def _in_ranges(df: DataFrame, keys: list[str]) -> DataFrame:
+    """`df` in ranges of `keys` and a column _tie, stored with the number of the range as _part.
 
-    The tie-breaker makes the sort keys unique, so equal rows spread over range partitions too; the
-    partitions are numbered apart and shifted by the sizes of those before them.
+    The tie-breaker makes the sort keys unique, so equal rows spread over ranges too.
     """
     rows = runtime.materialise(df.withColumn("_tie", F.monotonically_increasing_id()), "rows")
-    keys = [*order, "_tie"]
     parts = rows.sparkSession.sparkContext.defaultParallelism
     wanted = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts)
-    ranged = rows.repartitionByRange(wanted, *keys).withColumn("_part", F.spark_partition_id())
-    ranged = runtime.materialise(ranged, "ranged")
+    ranged = rows.repartitionByRange(wanted, *keys, "_tie").withColumn("_part", F.spark_partition_id())
+    return runtime.materialise(ranged, "ranged")
+
+
+def number_rows(df: DataFrame, *order: str, name: str = "review_id") -> DataFrame:
+    """Number all rows from 1 in a given order without sorting them in one task.
+
+    Range partitions are numbered apart and shifted by the sizes of those before them.
+    """
+    ranged = _in_ranges(df, [*order])
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))  # one row per partition
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order, "_tie"))
     ranged = ranged.withColumn(name, place).join(F.broadcast(shift), "_part")
     return ranged.withColumn(name, F.col(name) + F.col("_before")).select(name, *df.columns)
 
 
+def place_within(df: DataFrame, key: str, *order: Column | str, name: str = "place") -> DataFrame:
+    """Add each row's place, from 1, among the rows of its key. No task gets all rows of a key.
+
+    All rows are put into ranges of (key, order). Places are counted within a range, and shifted by the
+    key's rows in the ranges before: one number for each key and range, joined by both. Rows of a null key
+    are numbered like those of any other.
+    """
+    sorts = [f"_by{i}" for i in range(len(order))]
+    by = [F.col(o) if isinstance(o, str) else o for o in order]
+    ranged = _in_ranges(df.withColumns(dict(zip(sorts, by))), [key, *sorts])
+    sizes = ranged.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    # a key has no more sizes than there are ranges; only keys that reach over several are joined
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.withColumn("_before", F.sum("_rows").over(before)).filter("_before > 0")
+    shift = shift.select(F.col(key).alias("_key"), F.col("_part").alias("_in"), "_before")
+    place = F.row_number().over(Window.partitionBy("_part", key).orderBy(*sorts, "_tie"))
+    found = ranged.withColumn("_place", place).join(
+        shift, (F.col("_part") == F.col("_in")) & F.col(key).eqNullSafe(F.col("_key")), "left"
+    )
+    return found.select(*df.columns, (F.col("_place") + F.coalesce("_before", F.lit(0))).alias(name))
+
 
 def quality_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows, and rows with and without a value left in `column`."""

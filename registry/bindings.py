@@ -74,11 +74,21 @@ def platform_of() -> Column:
     return F.when(F.substring("source", 4, 9).cast("int") % 2 == 0, PLATFORMS[0]).otherwise(PLATFORMS[1])
 
 
+def store_catalog(spark, sf):
+    """All parts as products of the stores. A benchmark item of the same number gives its text as the name, so
+    that reviews and mentions speak of the same products."""
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), "p_name")
+    both = parts.join(products(spark, sf), "product_id", "full")
+    return both.select("product_id", F.coalesce("product_name", "p_name").alias("product_name"))
+
+
 def review_rows(spark, sf):
-    """All documents as reviews of the items, 5 columns and the platform."""
-    items = products(spark, sf)
-    docs = documents(spark, sf).withColumn("product_id", F.col("doc_id") % max(1, items.count()))
-    rows = docs.join(items, "product_id").join(table(spark, sf, "labels"), "doc_id", "left")
+    """All documents as reviews, 5 columns and the platform: dealt out to the products of the stores in turn. A
+    document without an id, or without any product to name, stays with nulls."""
+    items = tables.number_rows(store_catalog(spark, sf), "product_id", name="place")
+    items = runtime.materialise(items.withColumn("place", F.col("place") - 1), "catalog")
+    docs = documents(spark, sf).withColumn("place", F.pmod("doc_id", F.lit(max(1, items.count()))))
+    rows = docs.join(items, "place", "left").join(table(spark, sf, "labels"), "doc_id", "left")
     return rows.select(
         F.col("product_id").cast("string").alias("product_id"),
         "product_name",

@@ -139,12 +139,16 @@ scored AS (SELECT {key}, {BEST_LABEL} AS sentiment, {', '.join(LABELS)} FROM sco
 
 
 REVIEWS = f"""
-SELECT CAST(item_id AS VARCHAR) AS product_id, b.text AS product_name,
+SELECT CAST(product_id AS VARCHAR) AS product_id, product_name,
        CAST(n_chars % 5 + 1 AS DOUBLE) AS rating, d.text AS review_text,
        CASE WHEN quality IS NOT NULL THEN {HUMAN} END AS sentiment,
        CASE WHEN CAST(substr(source, 4) AS INTEGER) % 2 = 0 THEN '{PLATFORMS[0]}' ELSE '{PLATFORMS[1]}' END AS platform,
        doc_id
-FROM documents d JOIN benchmark b ON item_id = doc_id % (SELECT count(*) FROM benchmark)
+FROM documents d LEFT JOIN (
+  SELECT coalesce(p_partkey, item_id) AS product_id, coalesce(text, p_name) AS product_name,
+         row_number() OVER (ORDER BY coalesce(p_partkey, item_id)) - 1 AS place
+  FROM part FULL JOIN benchmark ON p_partkey = item_id) c
+ON place = doc_id % (SELECT count(*) FROM part FULL JOIN benchmark ON p_partkey = item_id)
 LEFT JOIN labels USING (doc_id)"""
 
 ECOMMERCE = f"""

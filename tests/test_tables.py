@@ -68,6 +68,36 @@ def test_number_rows(spark):
     assert [g[1:] for g in got] == sorted(data) and [g[0] for g in got] == list(range(1, 58))
 
 
+def test_place_within_a_key_that_fills_many_ranges(spark):
+    data = [("hot", None if i % 3 else i % 2, f"t{i}") for i in range(3000)] + [(None, i, "n") for i in range(5)] + [("z", 7, None)]
+    df = spark.createDataFrame(data, "id string, pos int, text string").repartition(7)
+    got = tables.place_within(df, "id", "pos", F.xxhash64("text")).collect()
+    places = {}
+    for r in sorted(got, key=lambda r: r.place):
+        places.setdefault(r.id, []).append((r.place, -1 if r.pos is None else r.pos))
+    assert sorted((r.id, r.pos, r.text) for r in got if r.id == "hot" and r.pos) == sorted(d for d in data if d[0] == "hot" and d[1])
+    for found in places.values():
+        assert [p for p, _ in found] == list(range(1, len(found) + 1))
+        assert [x for _, x in found] == sorted(x for _, x in found)
+    assert {k: len(v) for k, v in places.items()} == {"hot": 3000, None: 5, "z": 1}
+
+
+@pytest.mark.parametrize("pos", ["7", "CAST(NULL AS INT)", "CAST(id AS INT) * 1000"])
+def test_lists_are_bounded_whatever_pos_is(spark, pos):
+    df = spark.range(100_000).selectExpr("'a' AS id", f"{pos} AS pos", "CAST(id AS STRING) AS text")
+    got = tables.group_comments(df).collect()
+    assert sorted(r.chunk for r in got) == list(range(100)) and {len(r.texts) for r in got} == {1000}
+    assert len({t for r in got for t in r.texts}) == 100_000
+    if "id" in pos:  # in the order of pos
+        assert [t for r in sorted(got, key=lambda r: r.chunk) for t in r.texts] == [str(i) for i in range(100_000)]
+
+
+def test_few_comments_stay_in_order_in_one_list(spark, rows):
+    df = spark.createDataFrame([("a", 9, "x"), ("a", 2, None), ("a", 2, "b"), (None, 1, "n")], "id string, pos int, text string")
+    assert rows(tables.group_comments(df)) == [("a", 0, [None, "b", "x"]), (None, 0, ["n"])]
+    assert rows(tables.group_comments(df.filter("false"))) == []
+
+
 def test_counts(spark, rows):
     df = spark.createDataFrame([("a",), ("",), (None,)], "c string")
     assert rows(tables.quality_counts(df, "c")) == [(3, 2, 1)]
