@@ -6,6 +6,7 @@ from feedlark import runtime
 from feedlark.functions.text import clean_text, split_tokens
 from feedlark.operators import mention
 from feedlark.streaming import streams
+from registry import bindings
 
 POSTS = "id string, text string"
 
@@ -58,3 +59,12 @@ def test_streams_keep_each_other_s_rows(spark, rows, tmp_path):
         streams.stream_mention_map(source, catalog, out, str(tmp_path / f"state-{name}"), "text")
     assert rows(spark.read.parquet(out).select("id", "product_id")) == [("a", "p1"), ("b", "p1")]
     assert sorted(scratch.iterdir()) == before
+
+
+def test_registered_streams_read_tables_of_many_files(spark, rows, tmp_path):
+    """A table may be a folder of files; every one of them is new to a stream."""
+    sf = "/root/testdata/sf0.001"
+    for name, parts in (("documents", 3), ("conversations", 2), ("benchmark", 1)):
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(parts).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for query in (bindings.stream_clean, bindings.stream_mention_map):
+        assert rows(query(spark, str(tmp_path))) == rows(query(spark, sf)) != []
