@@ -40,3 +40,20 @@ def test_against_all_sums(k):
         got = sorted((-round(x, 6), int(block.names[p])) for p, x in zip(place[bag == i], totals[bag == i]) if x >= least[i])
         assert got == want
     assert block.added < 0.8 * whole  # bounds leave out sums
+
+
+def test_a_worker_holds_few_sums_at_once(monkeypatch):
+    """Many short names in one block meet many bags: bags go on in passes, with the same results."""
+    rnd = random.Random(3)
+    block, _ = block_of(rnd, 2_000, [f"t{i}" for i in range(50)])
+    shared = [[{"term": f"t{t}", "raw": rnd.uniform(1, 3)} for t in rnd.sample(range(50), 10)] for _ in range(200)]
+    frame = pd.DataFrame({"bag_no": range(200), "shared": shared, "least": 0.0})
+    row = next(next(bounds.pack_bags(iter([frame]), 256)).itertuples(index=False))
+    whole = pd.concat(bounds.BagBlock(row, 2).meet(block), ignore_index=True)
+
+    held, reaching = [], bounds.reaching
+    monkeypatch.setattr(bounds, "PASS_CELLS", 50_000)
+    monkeypatch.setattr(bounds, "reaching", lambda *a: held.append(len(a[4]) * len(a[0].names)) or reaching(*a))
+    parts = pd.concat(bounds.BagBlock(row, 2).meet(block), ignore_index=True)
+    pd.testing.assert_frame_equal(parts, whole)
+    assert len(held) > 8 and max(held) <= 50_000
