@@ -241,3 +241,15 @@ def test_cross_label_counts_words_once(spark, capsys):
     plan = capsys.readouterr().out
     # the words of a text are cut when texts are stored, not once for each fold
     assert "regexp" not in plan and "split" not in plan
+
+
+def test_only_words_of_rare_terms_are_shuffled(spark, monkeypatch):
+    """A model longer than what is broadcast: words of its frequent terms are summed where they lie."""
+    df = spark.createDataFrame([(f"the the word{i} more{i % 3}", "positive" if i % 2 else "neutral") for i in range(40)], "t string, y string")
+    model = S.train_bayes(df, "t", "y")
+    label = lambda: sorted(map(str, S.bayes_label(df, "t", model, keep_scores=True).collect()))
+    whole, sent, broadcast = label(), [], S.F.broadcast
+    monkeypatch.setattr(S, "MODEL_ROWS", 4)
+    monkeypatch.setattr(S.F, "broadcast", lambda d: sent.append(sorted(r["term"] for r in d.select("term").collect())) or broadcast(d))
+    assert label() == whole
+    assert sent == [["more0", "more1", "more2", "the"]] * 2
