@@ -231,9 +231,9 @@ def postings(frames: Iterator[pd.DataFrame], counts: np.ndarray, share: tuple[in
 def _cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """How often each cell of signature hashes is met in this task."""
     seen = np.zeros(CELLS, np.int64)
-    for frame in frames:
-        for mine in frame["mine"]:
-            seen += np.bincount((np.frombuffer(mine, np.uint64) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+    for frame in frames:  # the cells of a frame are counted among themselves: a pass over `seen` costs more than a text
+        found, n = np.unique(np.frombuffer(b"".join(frame["mine"]), np.uint64) % np.uint64(CELLS), return_counts=True)
+        seen[found.astype(np.int64)] += n
     cell = np.flatnonzero(seen > 1)
     yield pd.DataFrame({"cell": cell, "n": seen[cell]})
 

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from feedlark.llm import queries, spotsigs
@@ -111,3 +112,18 @@ def test_bounds():
         for b in (a, a + 1, 100 * a // 80):
             if 80 * b <= 100 * a:
                 assert set(spotsigs.length_partitions(a)) & set(spotsigs.length_partitions(b))
+
+
+def test_cells_are_counted_by_frame(monkeypatch):
+    rnd = np.random.default_rng(6)
+    sets = [np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64)) for n in (0, 1, 5, 400, 400)]
+    sets = sets * 3 + [np.array([7, 7 + spotsigs.CELLS], np.uint64)]  # a set may meet a cell twice
+    want = np.zeros(spotsigs.CELLS, np.int64)
+    for mine in sets:
+        np.add.at(want, (mine % np.uint64(spotsigs.CELLS)).astype(np.int64), 1)
+    passes, count = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **b: passes.append(1) or count(*a, **b))
+    frames = [pd.DataFrame({"mine": [m.tobytes() for m in part]}) for part in (sets[:7], [], sets[7:])]
+    got = pd.concat(spotsigs._cells(iter(frames)))
+    assert dict(zip(got["cell"], got["n"])) == {int(c): int(want[c]) for c in np.flatnonzero(want > 1)}
+    assert len(passes) <= len(frames)  # no pass over all cells for each text
