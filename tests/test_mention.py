@@ -157,3 +157,20 @@ def test_plan_has_no_cross_join(spark):
     words = mention.shared_words(texts, catalog).withColumn("bag_key", F.col("text_key"))
     plan = mention.best_names(words, catalog, **SPLIT)._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_words_of_a_text_are_weighed_where_they_lie(spark, monkeypatch):
+    rnd = random.Random(12)
+    words = [f"word{i}" for i in range(30)]
+    text = lambda: " ".join(rnd.choices(words, k=rnd.randint(1, 12)))
+    posts = spark.createDataFrame([(str(i), text()) for i in range(90)] + [("x", None), ("y", "none of it")], POSTS)
+    products = spark.createDataFrame([(str(i), text()) for i in range(5)], PRODUCTS)
+    monkeypatch.setattr(mention, "WEIGH_ROWS", 7)
+    catalog, texts = mention.fit_catalog(posts, products)
+    near = mention.shared_words(texts, catalog)
+    assert "Exchange" not in near._jdf.queryExecution().executedPlan().toString()
+    catalog.bounded = False  # the join by terms, for a vocabulary of any size
+    told = lambda df: sorted((bytes(r.text_key), r.copies, round(r.norm, 9), [(w.term, round(w.raw, 9)) for w in r.shared]) for r in df.collect())
+    assert told(near) == told(mention.shared_words(texts, catalog)) != []
+    weights = lambda bounded: sorted((bytes(r.text_key), r.term, round(r.weight, 9)) for r in mention.tfidf_weights(texts, catalog.vocab, bounded).collect())
+    assert weights(True) == weights(False) != []

@@ -90,3 +90,17 @@ def test_term_counts(spark):
 def test_clean_text_stays_in_the_jvm(spark):
     df = spark.createDataFrame([("x",)], "t string").select(T.clean_text("t", "social"))
     assert "Python" not in df._jdf.queryExecution().toString()
+
+
+def test_term_counts_of_tokens_in_any_order(spark):
+    texts = [["b", "a", "b"], [], None, ["é", None, "z", "a", "é", "\U0001f600"], [None]] + [["x", f"y{i}"] for i in range(2 * T.COUNT_ROWS)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t array<string>").coalesce(1)
+    got = {r.i: r.bag and [tuple(x) for x in r.bag] for r in T.with_term_counts(df, "t").collect()}
+    assert [got[i] for i in range(5)] == [[("a", 1), ("b", 2)], [], None, [("a", 1), ("z", 1), ("é", 2), ("\U0001f600", 1)], []]
+    assert all(got[i] == [("x", 1), (t[1], 1)] for i, t in enumerate(texts) if i >= 5)
+
+
+def test_spaces_above_latin_split_words(spark):
+    spaces = "".join(map(chr, [0x1680, 0x2028, 0x3000])) + "\x85\xa0\x0b"
+    df = spark.createDataFrame([(f"ab{c}-c{c}dée",) for c in spaces], "t string")
+    assert [r[0] for r in df.select(T.keep_alnum("t")).collect()] == [f"ab{c}c{c}de" for c in spaces]
