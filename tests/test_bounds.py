@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from feedlark import runtime
 from feedlark.operators import bounds
 
 
@@ -57,3 +58,21 @@ def test_a_worker_holds_few_sums_at_once(monkeypatch):
     parts = pd.concat(bounds.BagBlock(row, 2).meet(block), ignore_index=True)
     pd.testing.assert_frame_equal(parts, whole)
     assert len(held) > 8 and max(held) <= 50_000
+
+
+def test_bags_are_packed_where_they_lie_and_dealt_out_evenly(spark, monkeypatch):
+    """One shuffle brings packed bags to their cells; none comes before it."""
+    rnd = random.Random(5)
+    _, rows = block_of(rnd, 20, [f"t{i}" for i in range(50)])
+    blocks = bounds.name_blocks(runtime.materialise(spark.createDataFrame([(n, t, w) for n, t, w in rows], "name_no long, term string, weight double"), "postings"))
+    bags = [(i, [(f"t{t}", 1.0) for t in rnd.sample(range(50), 10)], 0.0) for i in range(160)]
+    bags = spark.createDataFrame(bags, "bag_no long, shared array<struct<term: string, raw: double>>, least double")
+    bags = runtime.materialise(bags.repartition(4), "bags")
+    kept, store = {}, runtime.materialise
+    monkeypatch.setattr(runtime, "materialise", lambda df, label: kept.update({label: df}) or store(df, label))
+    found = bounds.scores(bags, blocks, 1, bag_rows=5, chunk_words=100)
+    assert {r["bag_no"] for r in found.collect()} == set(range(160))
+    packed = kept["bag-blocks"]
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+    loads = [r["count"] for r in packed.groupBy("chunk").count().collect()]
+    assert len(loads) == 16 and max(loads) <= 5  # 32 blocks
