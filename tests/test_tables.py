@@ -157,3 +157,21 @@ def test_flows_end_to_end(spark, rows):
         "product_id string, product_name string, rating double, review_text string, sentiment string, platform string")
     table = pipelines.review_flow(reviews, label("sentiment_api"))
     assert rows(table) == [("p1", "The Bolt", 4.0, "Not bad", "positive", "one", "bolt", "not bad", "negative")]
+
+
+def test_flows_store_only_the_texts_they_are_asked_for(spark, rows, monkeypatch):
+    kept, store = {}, runtime.materialise
+    monkeypatch.setattr(runtime, "materialise", lambda df, label: kept.update({label: df.columns}) or store(df, label))
+    label = lambda name: lambda df, text: df.withColumn(name, F.when(F.col(text).contains("bad"), "negative").otherwise("positive"))
+    posts = spark.createDataFrame([(1, "a red bolt, not bad"), (1, "blue ring!"), (3, "blue ring!"), (4, "none")], "id bigint, text string")
+    products = spark.createDataFrame([("p1", "red bolt"), ("p2", "blue ring")], "product_id string, product_name string")
+    columns = ["product_id", "similarity_score", "sentiment"]
+    few = pipelines.social_flow(posts, products, label("sentiment"), columns=columns)
+    assert few.columns == columns and kept["labelled"] == ["id", "mention_key", "sentiment"]
+    assert rows(few) == rows(pipelines.social_flow(posts, products, label("sentiment")).select(*columns)) and few.count() == 4
+    reviews = spark.createDataFrame([("p1", "The Bolt", 4.0, "Not bad", "positive", "one"), (None, None, None, None, None, "two")],
+        "product_id string, product_name string, rating double, review_text string, sentiment string, platform string")
+    for columns in (["rating", "sentiment_api"], ["sentiment_humanlabels", "platform", "sentiment_api"]):
+        few = pipelines.review_flow(reviews, label("sentiment_api"), columns)
+        assert few.columns == columns and not {"review_text", "product_name", "clean_product_name"} & set(kept["reviews"])
+        assert rows(few) == rows(pipelines.review_flow(reviews, label("sentiment_api")).select(*columns)) and few.count() == 2
