@@ -69,7 +69,7 @@ def test_bags_are_packed_where_they_lie_and_dealt_out_evenly(spark, monkeypatch)
     bags = spark.createDataFrame(bags, "bag_no long, shared array<struct<term: string, raw: double>>, least double")
     bags = runtime.materialise(bags.repartition(4), "bags")
     kept, store = {}, runtime.materialise
-    monkeypatch.setattr(runtime, "materialise", lambda df, label: kept.update({label: df}) or store(df, label))
+    monkeypatch.setattr(runtime, "materialise", lambda df, label, *more: kept.update({label: df}) or store(df, label, *more))
     found = bounds.scores(bags, blocks, 1, bag_rows=5, chunk_words=100)
     assert {r["bag_no"] for r in found.collect()} == set(range(160))
     packed = kept["bag-blocks"]

@@ -161,7 +161,7 @@ def test_flows_end_to_end(spark, rows):
 
 def test_flows_store_only_the_texts_they_are_asked_for(spark, rows, monkeypatch):
     kept, store = {}, runtime.materialise
-    monkeypatch.setattr(runtime, "materialise", lambda df, label: kept.update({label: df.columns}) or store(df, label))
+    monkeypatch.setattr(runtime, "materialise", lambda df, label, *more: kept.update({label: df.columns}) or store(df, label, *more))
     label = lambda name: lambda df, text: df.withColumn(name, F.when(F.col(text).contains("bad"), "negative").otherwise("positive"))
     posts = spark.createDataFrame([(1, "a red bolt, not bad"), (1, "blue ring!"), (3, "blue ring!"), (4, "none")], "id bigint, text string")
     products = spark.createDataFrame([("p1", "red bolt"), ("p2", "blue ring")], "product_id string, product_name string")
