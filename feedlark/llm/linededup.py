@@ -12,11 +12,12 @@ So a line goes if, and only if, it lies in a window that equals an earlier one,
 documents' keys and lines. The first copy of any passage stays, and shorter repetitions are left alone.
 The last lines of a repeated run stay if fewer than `PASSAGE` words remain from them to its end.
 
-With `both_sides` matches reach to both ends of a run: the windows of two lines at least that grow backward
-from every line are compared too, in the documents that hold a repeated window, as no others can. A line
-of a repeated run lies in the forward window of the run's first line, or else the run holds a passage up
-to that line, and so its backward window, with the line before and what is between. So a line goes if, and
-only if, it lies in a run of whole lines of at least `PASSAGE` words that equals an earlier one.
+With `both_sides` matches reach to both ends of a run. The windows that begin inside a run and fit into it
+cover it from its first line to the end of the last of them; the lines that are left hold fewer than
+`PASSAGE` words together with all lines of that last window but its first. So with every window the hashes of
+its extensions are stored, which go on line by line as long as that holds (a window of one line by one line in
+any case, so that what lies between goes too), and those of repeated windows are compared like windows. So a line goes if, and only if, it lies in a run of whole lines of at least `PASSAGE`
+words that equals an earlier one.
 
 Lines are compared without the blanks at their ends; lines without words are not counted, and go only
 within a deleted window. Defined results: null texts stay null, and have no lines; a null key comes first;
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlark import runtime
-from feedlark.llm.common import shield, small, unshield
+from feedlark.llm.common import shield, unshield
 
 PASSAGE = 50  # words from which a repeated passage is deleted
 MOST_DELETED = 2_000_000  # numbers of deleted lines that are broadcast (16 MB); more are shuffled with the texts
@@ -52,26 +53,20 @@ def _lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n", -1), line), lambda x: x["words"] > 0)
 
 
-def _lengths(passage: int, back: bool = False) -> Column:
-    """For every line the number of lines that hold a passage from there on, or with `back` up to there,
-    the line before among them; 0 where the text ends before.
+def _lengths(passage: int) -> Column:
+    """For every line the number of lines that hold a passage from there on; 0 where the text ends before.
 
     Lines have words, so a window has no more lines than words."""
 
     def grow(seen: Column, line: Column) -> Column:
-        full = (seen["words"] >= passage) & (seen["n"] >= (2 if back else 1))
-        return F.when(full, seen).otherwise(
-            F.struct((seen["n"] + 1).alias("n"), (seen["words"] + line["words"]).alias("words"))
-        )
+        longer = F.struct((seen["n"] + 1).alias("n"), (seen["words"] + line["words"]).alias("words"))
+        return F.when(seen["words"] >= passage, seen).otherwise(longer)
 
     def length(line: Column, i: Column) -> Column:
         start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("words"))
         near = F.slice("lines", i + 1, F.lit(passage))
-        if back:
-            most = F.least(i + 1, F.lit(max(passage, 2)))
-            near = F.reverse(F.slice("lines", i + 2 - most, most))
         grown = F.aggregate(near, start, grow, lambda s: F.when(s["words"] >= passage, s["n"]).otherwise(0))
-        return grown if back else F.when(line["words"] >= passage, F.lit(1)).otherwise(grown)
+        return F.when(line["words"] >= passage, F.lit(1)).otherwise(grown)
 
     return F.transform("lines", length)
 
@@ -81,11 +76,24 @@ def store_rows(docs: DataFrame) -> DataFrame:
     return runtime.materialise(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
 
 
-def window_table(stored: DataFrame, key: str, text: str, passage: int, back: bool = False) -> DataFrame:
+def window_table(stored: DataFrame, key: str, text: str, passage: int, extended: bool = False) -> DataFrame:
     """(row, key, first, last, print, at, content1, content2): every window, with the place of its
-    fingerprint and two hashes of its content, 128 bits together."""
+    fingerprint and two hashes of its content, 128 bits together. With `extended` also `longer`, an array of
+    (last, rest) of its extensions, with a hash of the lines after the window: those by lines that hold no passage
+    with the window's lines but the first, and that of one line by the next."""
     lines = stored.select("row", F.col(key).alias("key"), _lines(F.col(text)).alias("lines"))
-    sized = lines.withColumn("lengths", _lengths(passage, back))
+    sized = lines.withColumn("lengths", _lengths(passage))
+
+    def longer(n: Column, i: Column) -> Column:
+        after = F.get("lengths", i + 1)  # null or 0: no window begins at the next line, so all lines to the end
+        left = F.size("lines") - i
+        most = F.greatest(F.when(after > 0, after).otherwise(left), F.least(left, F.lit(2)))
+
+        def extension(m: Column) -> Column:
+            rest = F.transform(F.slice("lines", i + n + 1, m - n), lambda x: x["key"])
+            return F.struct(F.get("lines", i + m - 1)["place"].alias("last"), F.xxhash64(rest).alias("rest"))
+
+        return F.when(most > n, F.transform(F.sequence(n + 1, most), extension))
 
     def window(n: Column, i: Column) -> Column:
         part = F.slice("lines", i + 1, F.greatest(n, F.lit(1)))
@@ -100,10 +108,11 @@ def window_table(stored: DataFrame, key: str, text: str, passage: int, back: boo
                 least["place"].alias("at"),
                 F.xxhash64(keys).alias("content1"),
                 F.xxhash64(F.lit(1), keys).alias("content2"),
+                *([longer(n, i).alias("longer")] if extended else []),
             ),
         )
 
-    windows = F.array_compact(F.transform("lengths", (lambda n, i: window(n, i - n + 1)) if back else window))
+    windows = F.array_compact(F.transform("lengths", window))
     return runtime.materialise(sized.select("row", "key", F.inline(windows)), "windows")
 
 
@@ -112,29 +121,33 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
     place = F.struct("row", "at")
     prints = windows.groupBy("print").agg(F.min(place).alias("a"), F.max(place).alias("b"))
     prints = runtime.materialise(prints.filter("a <> b").select("print"), "fingerprints")
-    return runtime.materialise(windows.join(prints, "print"), "candidates")
+    return runtime.materialise(windows.drop("at").join(prints, "print").drop("print"), "candidates")
 
 
 def met_windows(windows: DataFrame) -> DataFrame:
-    """(row, first, last, later): windows whose content stands at two places at least; is there an earlier one?"""
+    """The windows whose content stands at two places at least, with `later`: is there an earlier one?"""
     place = F.struct("key", "row", "first")
     firsts = windows.groupBy("content1", "content2").agg(F.min(place).alias("earliest"), F.count(F.lit(1)).alias("n"))
-    firsts = runtime.materialise(firsts.filter("n > 1").drop("n"), "firsts")
+    firsts = firsts.filter("n > 1").select("content1", "content2", "earliest.row", "earliest.first")
+    firsts = runtime.materialise(firsts.withColumnsRenamed({"row": "first_row", "first": "first_first"}), "firsts")
     met = windows.join(firsts, ["content1", "content2"])
-    return met.select("row", "first", "last", (~place.eqNullSafe(F.col("earliest"))).alias("later"))
+    later = (F.col("row") != F.col("first_row")) | (F.col("first") != F.col("first_first"))
+    return met.select(*windows.columns, later.alias("later"))
 
 
 def later_windows(candidates: DataFrame) -> DataFrame:
     """(row, first, last): candidates whose content stands at an earlier place."""
-    return met_windows(candidates).filter("later").drop("later")
+    return met_windows(candidates).filter("later").select("row", "first", "last")
 
 
-def both_ways(candidates: DataFrame, stored: DataFrame, key: str, text: str, passage: int) -> DataFrame:
-    """`later_windows` with the backward windows of the documents in which a candidate's content is met."""
+def both_ways(candidates: DataFrame) -> DataFrame:
+    """`later_windows` with the extensions whose content stands at an earlier place. Both places of such a content hold
+    a window that is met, and the extension of that."""
+    contents = [F.xxhash64(c, F.col("rest")).alias(c) for c in ("content1", "content2")]
     met = runtime.materialise(met_windows(candidates), "met")
-    rows = small(runtime.materialise(met.select("row").distinct(), "met-rows"), MOST_DELETED)
-    backs = window_table(stored.join(rows, "row", "left_semi"), key, text, passage, back=True)
-    return met.filter("later").drop("later").union(later_windows(backs))
+    longer = met.filter("longer IS NOT NULL").select("row", "key", "first", "content1", "content2", F.inline("longer"))
+    longer = longer.select("row", "key", "first", "last", *contents)
+    return met.filter("later").select("row", "first", "last").union(later_windows(longer))
 
 
 def runs_of(later: DataFrame) -> DataFrame:
@@ -153,8 +166,8 @@ def dedup_lines(
     stored = store_rows(docs)
 
     def deleted_lines() -> DataFrame:
-        candidates = repeated_windows(window_table(stored, key, text, passage))
-        return runs_of(both_ways(candidates, stored, key, text, passage) if both_sides else later_windows(candidates))
+        candidates = repeated_windows(window_table(stored, key, text, passage, extended=both_sides))
+        return runs_of(both_ways(candidates) if both_sides else later_windows(candidates))
 
     gone = runtime.settle(docs.sparkSession, deleted_lines, "runs")
     few = (gone.agg(F.sum(F.size("deleted") + 1)).first()[0] or 0) <= MOST_DELETED

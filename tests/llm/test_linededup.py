@@ -117,3 +117,22 @@ def test_runs_query_against_sql(spark):
     assert comparable(df.columns, rows) == comparable(rel.columns, rel.fetchall())
     assert not type_differences(df, rel)
     assert sum(r["n_deleted"] for r in rows) > sum(r["n_deleted"] for r in queries.op6_line_dedup(spark, sf).collect())
+
+
+def test_extensions_are_met_at_any_earlier_place(spark):
+    """The window of a run stands first in one document, the window with its last lines in another."""
+    line = lambda word, n: " ".join(f"{word}{i}" for i in range(n))
+    body, end = f"{line('a', 30)}\n{line('b', 30)}", f"{line('c', 1)}\n \n{line('d', 15)}"
+    docs = [(1, f"{body}\n{line('z', 60)}"), (2, f"{body}\n{end}"), (3, f"own\n{body}\n{end}\nlast"), (4, f"{line('d', 15)}\n{line('c', 1)}")]
+    df = spark.createDataFrame(docs, SCHEMA)
+    got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup_lines(df, both_sides=True).collect()}
+    assert got == {1: docs[0][1], 2: end, 3: "own\nlast", 4: docs[3][1]}
+
+
+def test_both_sides_read_the_texts_once(spark, monkeypatch):
+    """Windows are made of the texts in one pass, and the extensions lie beside them."""
+    calls, made = [], linededup.window_table
+    monkeypatch.setattr(linededup, "window_table", lambda *args, **more: calls.append(more) or made(*args, **more))
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert linededup.dedup_lines(df, both_sides=True).filter("n_deleted > 0").count() > 0
+    assert calls == [{"extended": True}]

@@ -7,6 +7,7 @@ import corpus_pipeline
 from feedlark.llm import toxicity
 from tests.llm.test_decontam import plain as plain_hits
 from tests.llm.test_linededup import plain as plain_lines
+from tests.llm.test_linededup import plain_runs
 from tests.llm.test_neardup import plain as plain_components
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +40,15 @@ def test_every_stage_on_its_own_input(spark):
     assert got.columns == docs.columns
 
 
+def test_repeated_runs_go_with_both_ends(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").coalesce(1).cache()
+    given = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    kept = [(i, new) for (i, old), new in zip(given, plain_runs(given, 50)) if new == old or new.strip()]
+    got = corpus_pipeline.drop_repeated_lines(spark, docs, SF, both_sides=True)
+    assert rows_of(got) == sorted(kept, key=repr) and got.columns == docs.columns
+    assert rows_of(got) != rows_of(corpus_pipeline.drop_repeated_lines(spark, docs, SF))
+
+
 def test_toxic_documents_go(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
