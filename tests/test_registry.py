@@ -25,3 +25,21 @@ def test_query(spark, con, name):
     assert comparable(df.columns, df.collect()) == comparable(rel.columns, rel.fetchall())
     assert not type_differences(df, rel)
     assert not [c for c in df.columns if df.columns.count(c) > 1]
+
+
+@pytest.mark.parametrize("most, sent", [(bindings.MOST_LABELS, True), (5, False)])
+def test_texts_are_not_shuffled_for_few_labels(spark, monkeypatch, most, sent):
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+
+    usual = rows(bindings.labelled(spark, SF)), rows(bindings.review_rows(spark, SF))
+    monkeypatch.setattr(bindings, "MOST_LABELS", most)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as if both tables were large
+    try:
+        joined = bindings.labelled(spark, SF), bindings.review_rows(spark, SF)
+        plans = [df._jdf.queryExecution().sparkPlan().toString() for df in joined]
+        assert [("BroadcastHashJoin [doc_id" in plan) for plan in plans] == [sent, sent]
+        assert usual == tuple(map(rows, joined))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
