@@ -76,3 +76,34 @@ def test_bags_are_packed_where_they_lie_and_dealt_out_evenly(spark, monkeypatch)
     assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
     loads = [r["count"] for r in packed.groupBy("chunk").count().collect()]
     assert len(loads) == 16 and max(loads) <= 5  # 32 blocks
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_one_bag_is_summed_at_a_time_and_at_once_where_bounds_spare_little(monkeypatch, k):
+    """Words are about as frequent, so nearly every posting is needed: a step for each bag, over the names of the block."""
+    rnd = random.Random(11)
+    block, rows = block_of(rnd, 1_500, [f"t{i}" for i in range(60)])
+    shared = [[{"term": f"t{t}", "raw": rnd.uniform(2, 3)} for t in rnd.sample(range(60), 30)] for _ in range(200)]
+    frame = pd.DataFrame({"bag_no": range(200), "shared": shared, "least": 0.0})
+    row = next(next(bounds.pack_bags(iter([frame]), 256)).itertuples(index=False))
+    made, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **more: made.append(len(found := bincount(*a, **more))) or found)
+    got = pd.concat(bounds.BagBlock(row, k).meet(block), ignore_index=True)
+    assert max(made) <= 1_500 and len(made) < 1.5 * 200
+    for bag, words in enumerate(shared):
+        raws, sums = {w["term"]: w["raw"] for w in words}, {}
+        for name, t, weight in rows:
+            sums[name] = sums.get(name, 0.0) + raws.get(t, 0.0) * weight
+        want = sorted((-round(x, 6), name) for name, x in sums.items())[:k]
+        assert sorted((-x, n) for n, x in got[got["bag_no"] == bag][["name_no", "rank_by"]].itertuples(index=False)) == want
+
+
+def test_blocks_of_short_names_are_split(spark, monkeypatch):
+    monkeypatch.setattr(bounds, "BLOCK_NAMES", 30)
+    postings = [(n, t, 0.5) for n in range(100) for t in (f"a{n % 7}", "b")] + [(200, f"c{i}", 0.1) for i in range(40)]
+    postings = runtime.materialise(spark.createDataFrame(postings, "name_no long, term string, weight double"), "postings")
+    blocks = [bounds.NameBlock(r) for r in bounds.name_blocks(postings).toPandas().itertuples(index=False)]
+    assert sorted(n for b in blocks for n in b.names) == [*range(100), 200]
+    assert len(blocks) == 5 and all(len(b.names) <= 30 for b in blocks)
+    found = sorted((int(b.names[p]), t, w) for b in blocks for t, i in b.number.items() for p, w in zip(b.places[b.starts[i] : b.starts[i + 1]], b.weights[b.starts[i] : b.starts[i + 1]]))
+    assert found == sorted((r.name_no, r.term, r.weight) for r in postings.collect())

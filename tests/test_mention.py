@@ -174,3 +174,14 @@ def test_words_of_a_text_are_weighed_where_they_lie(spark, monkeypatch):
     assert told(near) == told(mention.shared_words(texts, catalog)) != []
     weights = lambda bounded: sorted((bytes(r.text_key), r.term, round(r.weight, 9)) for r in mention.tfidf_weights(texts, catalog.vocab, bounded).collect())
     assert weights(True) == weights(False) != []
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_names_that_are_not_asked_for_stay_out_of_the_joins(spark, rows, monkeypatch, k):
+    posts = spark.createDataFrame(random_rows(8, 60, "r", 6), POSTS)
+    products = spark.createDataFrame([p for p in random_rows(9, 20, "p", 4) if p[1]], PRODUCTS)
+    kept, store = {}, mention.runtime.materialise
+    monkeypatch.setattr(mention.runtime, "materialise", lambda df, label, *more: kept.update({label: store(df, label, *more)}) or kept[label])
+    found = [mention.map_mentions(posts, products, k=k, with_names=x, tokenising=PLAIN) for x in (True, False)]
+    assert {r.product_name for r in kept["ids"].collect()} == {None}
+    assert rows(found[0].drop("product_name")) == rows(found[1].drop("product_name"))
