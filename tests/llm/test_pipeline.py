@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -85,3 +86,16 @@ def test_run(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     ids = [r["doc_id"] for r in out]
     assert len(ids) == len(set(ids)) > 100 and all(r["n_tokens"] >= 0 for r in out)
+
+
+def test_run_deletes_repeated_runs_to_both_ends(spark, tmp_path):
+    line = lambda word, n: " ".join(f"{word}{i}" for i in range(n))
+    passage, end = f"{line('a', 30)}\n{line('b', 30)}", line("c", 15)
+    texts = {1: f"{passage}\n{end}", 2: f"own\n{passage}\n{end}\nlast", 3: f"other words\n{end}"}
+    docs = [(i, text, "en", "s", len(text)) for i, text in texts.items()]
+    folder = str(tmp_path)
+    spark.createDataFrame(docs, DOCUMENTS).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "no such words")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    got = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.run(spark, folder).collect()}
+    assert got == {i: hashlib.sha256(text.encode()).hexdigest() for i, text in (texts | {2: "own\nlast"}).items()}
